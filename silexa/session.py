@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import os
+import pathlib
 import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,3 +59,25 @@ def cut(df: DataFrame, name: str = "stage") -> DataFrame:
     path = f"{shared_dir(spark)}/silexa/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Makes this package importable in Python workers, once per application.
+
+    Nothing is done where PYTHONPATH already names the folder that holds the package.
+    """
+    context = spark.sparkContext
+    package = pathlib.Path(__file__).resolve().parent
+    paths = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if context.applicationId in _shipped or any(p and pathlib.Path(p).resolve() == package.parent for p in paths):
+        return
+    made = tempfile.mkdtemp(prefix="silexa-")
+    atexit.register(shutil.rmtree, made, ignore_errors=True)
+    with zipfile.ZipFile(f"{made}/silexa.zip", "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    context.addPyFile(f"{made}/silexa.zip")
+    _shipped.add(context.applicationId)
