@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from silexa.llm import packing, splitting
+from silexa.llm import near_dups, packing, splitting
 from silexa.sources.tables import table
 
 
@@ -26,6 +26,18 @@ def p2_use(spark: SparkSession, sf: str) -> DataFrame:
     return packing.container_use(p2_fill(spark, sf))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_pieces, p2_fill, p2_use)}
+def _near(spark: SparkSession, sf: str) -> near_dups.NearDuplicates:
+    return near_dups.NearDuplicates(table(spark, sf, "raw_chunks"), words=3, similarity=0.6, least=20)
+
+
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    return near_dups.row_pairs(_near(spark, sf))
+
+
+def p4_groups(spark: SparkSession, sf: str) -> DataFrame:
+    return near_dups.groups(table(spark, sf, "raw_chunks"), _near(spark, sf))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_pieces, p2_fill, p2_use, p4_found, p4_groups)}
 
 SQL: dict[str, str] = {}

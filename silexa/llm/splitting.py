@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from silexa.functions.pywords import BLANKED, blank_count
 
 SECTION, PARAGRAPH, LINE, SENTENCE, WORD, CHARACTER = range(6)
-_BREAK = re.compile(r"\r\n|[\n\r\x0b\x0c\x85  ]")
+_BREAK = re.compile("\r\n|[\n\r\x0b\x0c\x85\N{LINE SEPARATOR}\N{PARAGRAPH SEPARATOR}]")
 _ENDS = re.compile(r"[.!?;:。！？…][\"'”’)\]}>*_`]*$")
 _HEADING = re.compile(r"(#{1,6}|={1,6}|-{3,}|\*{3,}|={3,})$")
 
@@ -40,7 +40,7 @@ def boundary(text: str, spans: list[tuple[int, int]], i: int) -> int:
     if breaks:
         if _HEADING.match(text[right[0] : right[1]]):
             return SECTION
-        return PARAGRAPH if breaks > 1 or " " in gap else LINE
+        return PARAGRAPH if breaks > 1 or "\N{PARAGRAPH SEPARATOR}" in gap else LINE
     return SENTENCE if _ENDS.search(text, max(left[0], left[1] - 12), left[1]) else WORD
 
 
