@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from silexa.llm import near_dups, packing, splitting
+from silexa.llm import encoding, near_dups, packing, splitting, survivors
 from silexa.sources.tables import table
 
 
@@ -38,6 +38,27 @@ def p4_groups(spark: SparkSession, sf: str) -> DataFrame:
     return near_dups.groups(table(spark, sf, "raw_chunks"), _near(spark, sf))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_pieces, p2_fill, p2_use, p4_found, p4_groups)}
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    found = survivors.survivors(table(spark, sf, "raw_chunks"), table(spark, sf, "builds"), values=False)
+    return found.select("group_id", "chips_from", "index_from", "symbols_from", "path_from")
+
+
+def p5_records(spark: SparkSession, sf: str) -> DataFrame:
+    return survivors.survivors(table(spark, sf, "raw_chunks"), table(spark, sf, "builds"))
+
+
+def p5_truth(spark: SparkSession, sf: str) -> DataFrame:
+    return survivors.true_values(table(spark, sf, "raw_chunks"), table(spark, sf, "builds"))
+
+
+def p6_ids(spark: SparkSession, sf: str) -> DataFrame:
+    return encoding.token_ids(table(spark, sf, "documents"))
+
+
+def p6_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return encoding.token_counts(p6_ids(spark, sf))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_pieces, p2_fill, p2_use, p4_found, p4_groups, p5_found, p5_records, p5_truth, p6_ids, p6_counts)}
 
 SQL: dict[str, str] = {}
