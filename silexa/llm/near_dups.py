@@ -22,7 +22,7 @@ COUNTERS, SLICES = 1 << 20, 64
 #: Growth of the sizes from one band to the next.
 STEP = 1.4
 #: Signatures that one task joins.
-JOINED = 1_500_000
+JOINED = 3_000_000
 #: Candidate pairs compared at a time.
 BLOCK = 2_000_000
 _KNOWN = 1_000_000
