@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from silexa.llm import encoding, near_dups, packing, splitting, survivors
+from silexa.llm import encoding, near_dups, neighbours, packing, splitting, survivors
 from silexa.sources.tables import table
 
 
@@ -26,6 +27,14 @@ def p2_use(spark: SparkSession, sf: str) -> DataFrame:
     return packing.container_use(p2_fill(spark, sf))
 
 
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    return neighbours.similar_pairs(neighbours.nearest(table(spark, sf, "chunks"), least=0.85))
+
+
+def p3_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf, "chunks"), queries=F.col("chunk_id") % 100 == 0, tables=2, probes=400)
+
+
 def _near(spark: SparkSession, sf: str) -> near_dups.NearDuplicates:
     return near_dups.NearDuplicates(table(spark, sf, "raw_chunks"), words=3, similarity=0.6, least=20)
 
@@ -59,6 +68,6 @@ def p6_counts(spark: SparkSession, sf: str) -> DataFrame:
     return encoding.token_counts(p6_ids(spark, sf))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_pieces, p2_fill, p2_use, p4_found, p4_groups, p5_found, p5_records, p5_truth, p6_ids, p6_counts)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_pieces, p2_fill, p2_use, p3_found, p3_neighbours, p4_found, p4_groups, p5_found, p5_records, p5_truth, p6_ids, p6_counts)}
 
 SQL: dict[str, str] = {}
