@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
+from functools import lru_cache
 
 #: Maximal runs of Unicode letters, digits and underscores.
 TERM = re.compile(r"\w+")
@@ -21,13 +23,16 @@ def terms(text: str | None) -> list[str]:
     return TERM.findall(text.lower()) if text else []
 
 
+@lru_cache(1)
+def _format_characters() -> re.Pattern[str]:
+    points = [chr(c) for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Cf"]
+    return re.compile("[" + "".join(map(re.escape, points)) + "]+")
+
+
 def folded(text: str | None) -> str:
     """NFKC, lower case, without format characters (category Cf); null gives ''."""
     if not text:
         return ""
     if text.isascii():
         return text.lower()
-    low = unicodedata.normalize("NFKC", text).lower()
-    if low.isascii():
-        return low
-    return "".join(c for c in low if c < "\xad" or unicodedata.category(c) != "Cf")
+    return _format_characters().sub("", unicodedata.normalize("NFKC", text).lower())
