@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silexa.llm import encoding, near_dups, neighbours, packing, splitting, survivors
+from silexa.llm import encoding, leaks, near_dups, neighbours, packing, splitting, survivors
 from silexa.sources.tables import table
 
 
@@ -68,6 +68,14 @@ def p6_counts(spark: SparkSession, sf: str) -> DataFrame:
     return encoding.token_counts(p6_ids(spark, sf))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_pieces, p2_fill, p2_use, p3_found, p3_neighbours, p4_found, p4_groups, p5_found, p5_records, p5_truth, p6_ids, p6_counts)}
+def p7_leaks(spark: SparkSession, sf: str) -> DataFrame:
+    return leaks.leaks(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
+
+
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p7_leaks(spark, sf).select("doc_id", "item_id").distinct()
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_pieces, p2_fill, p2_use, p3_found, p3_neighbours, p4_found, p4_groups, p5_found, p5_records, p5_truth, p6_ids, p6_counts, p7_found, p7_leaks)}
 
 SQL: dict[str, str] = {}
