@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silexa.llm import encoding, leaks, near_dups, neighbours, packing, splitting, survivors
+from silexa.llm import encoding, leaks, near_dups, neighbours, packing, spam, splitting, survivors
 from silexa.sources.tables import table
 
 
@@ -76,6 +76,14 @@ def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     return p7_leaks(spark, sf).select("doc_id", "item_id").distinct()
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_pieces, p2_fill, p2_use, p3_found, p3_neighbours, p4_found, p4_groups, p5_found, p5_records, p5_truth, p6_ids, p6_counts, p7_found, p7_leaks)}
+def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
+    return spam.word_shares(table(spark, sf, "documents"))
+
+
+def p8_found(spark: SparkSession, sf: str) -> DataFrame:
+    return spam.flagged(p8_shares(spark, sf)).select("doc_id")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_pieces, p2_fill, p2_use, p3_found, p3_neighbours, p4_found, p4_groups, p5_found, p5_records, p5_truth, p6_ids, p6_counts, p7_found, p7_leaks, p8_found, p8_shares)}
 
 SQL: dict[str, str] = {}
