@@ -19,8 +19,6 @@ SETS = "raw_id bigint, digest binary, size int, shingles array<int>"
 SIGNED = "band int, part int, class_id bigint, size int, own boolean, scan boolean, bits binary, whole array<int>, less array<int>"
 #: Counters of the popularity sketch, and parts in which they are summed.
 COUNTERS, SLICES = 1 << 20, 64
-#: Growth of the sizes from one band to the next.
-STEP = 1.4
 #: Signatures that one task joins.
 JOINED = 3_000_000
 #: Candidate pairs compared at a time.
@@ -115,11 +113,11 @@ def popularity(sets: DataFrame) -> np.ndarray:
     return np.minimum(out, np.iinfo(np.int32).max).astype(np.int32)
 
 
-def band_edges(largest: int) -> list[int]:
-    """First sizes of the bands up to that of ``largest``."""
+def band_edges(largest: int, similarity: float) -> list[int]:
+    """First sizes of the bands up to that of ``largest``; similar sets are in one band or in adjacent ones."""
     edges = [1]
     while edges[-1] <= largest:
-        edges.append(max(edges[-1] + 1, math.ceil(edges[-1] * STEP)))
+        edges.append(max(edges[-1] + 1, math.ceil(edges[-1] * max(1.1, 1 / similarity))))
     return edges
 
 
@@ -317,13 +315,12 @@ class NearDuplicates:
     @staticmethod
     def _join(one: DataFrame, similarity: float) -> DataFrame:
         largest = one.agg(F.max("size")).first()[0] or 0
-        edges = band_edges(largest)
+        edges = band_edges(largest, similarity)
         band = F.lit(0)
-        for k, edge in enumerate(edges):  # a few dozen: sizes grow by STEP
+        for k, edge in enumerate(edges):  # a few dozen: sizes grow geometrically
             band = F.when(F.col("size") >= edge, k).otherwise(band)
         tokens = {r["band"]: r["n"] for r in one.groupBy(band.alias("band")).agg(F.sum("size").alias("n")).collect()}
-        span = math.ceil(math.log(1 / similarity, STEP)) + 1
-        parts = {b: -(-sum(int(1.4 * tokens.get(b + k, 0)) for k in range(span)) // JOINED) for b in tokens}
+        parts = {b: -(-int(1.4 * (n + tokens.get(b + 1, 0))) // JOINED) for b, n in tokens.items()}
         popular = one.sparkSession.sparkContext.broadcast(popularity(one))
         signed = one.select("class_id", "shingles").mapInArrow(_signed(edges, parts, similarity, popular), SIGNED)
         met = signed.groupBy("band", "part").applyInArrow(_candidates(similarity), "id_s bigint, id_t bigint").distinct()
