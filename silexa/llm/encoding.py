@@ -15,6 +15,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from silexa.functions.batches import by_text
+
 #: Where the vocabularies lie unless the caller says otherwise.
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 # How the public vocabulary's texts are parted before pairs are merged.
@@ -154,8 +156,7 @@ def encode(text: str | None, path: str) -> list[int]:
 def _encoded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for k in range(0, whole.num_rows, 1000):
-                batch = whole.slice(k, 1000)
+            for batch in by_text(whole, 1):
                 found = [encode(t, path) for t in batch.column(1).to_pylist()]
                 sizes = np.fromiter(map(len, found), np.int64, len(found))
                 flat = np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))

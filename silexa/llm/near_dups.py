@@ -12,6 +12,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from silexa.functions.batches import by_items, by_text
 from silexa.functions.pywords import terms
 from silexa.session import cut
 
@@ -71,7 +72,7 @@ def shingle_sets(texts: list[str | None], words: int, least: int, codes: dict[st
 def _sets(words: int, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = _Codes()
-        for batch in batches:
+        for batch in (part for whole in batches for part in by_text(whole, 1)):
             ids = batch.column(0)
             hashes, sizes = shingle_sets(batch.column(1).to_pylist(), words, least, codes)
             kept = np.flatnonzero(sizes > 0)
@@ -200,13 +201,12 @@ def _signed(edges: list[int], parts: dict[int, int], similarity: float, popular:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = popular.value
         for whole_batch in batches:
-            for k in range(0, whole_batch.num_rows, 2000):  # bounds the arrays
-                batch = whole_batch.slice(k, 2000)
+            for batch in by_items(whole_batch, 1):
                 ids = batch.column(0).to_numpy(zero_copy_only=False)
                 values, sizes = _lists(batch.column(1))
                 values = values.view(np.uint32)
                 of = np.searchsorted(starts, sizes, side="right") - 1
-                for band in range(int(of.max()) + 1):
+                for band in range(int(of.max()) + 1 if len(of) else 0):
                     high = edges[band + 1] - 1
                     taken = (of == band) | ((of > band) & (sizes * similarity <= high + 1e-9))
                     if parts.get(band) and taken.any():
@@ -228,29 +228,29 @@ def _candidates(similarity: float):
         found: list[np.ndarray] = []
 
         def check(a: np.ndarray, b: np.ndarray) -> None:
-            a, b = np.minimum(a, b), np.maximum(a, b)
+            a, b = np.minimum(a, b).astype(np.int64), np.maximum(a, b).astype(np.int64)
             ok = (a != b) & (own[a] | own[b]) & (np.minimum(sizes[a], sizes[b]) >= similarity * np.maximum(sizes[a], sizes[b]) - 1e-9)
             a, b = a[ok], b[ok]
             differ = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)
             ok = differ <= ratio * (sizes[a] + sizes[b]) + 1e-9
             found.append(np.unique(a[ok] * n + b[ok]))
 
-        sigs, owners, kinds = [], [], []
+        # signature (31 bits), less, doesn't probe, owner: sorted by themselves, without an order beside them
+        keys = []
         for k, name in enumerate(("whole", "less")):
             values, counts = _lists(group[name].chunk(0) if group[name].num_chunks else group[name].combine_chunks())
-            sigs.append(values.view(np.uint32))
-            owners.append(np.repeat(np.arange(n), counts))
-            kinds.append(np.full(len(values), k, np.uint64))
-        sig, owner, kind = np.concatenate(sigs).astype(np.uint64), np.concatenate(owners), np.concatenate(kinds)
-        # within a signature: whole and probing, whole, less and probing, less
-        order = np.argsort(((sig >> np.uint64(1)) << np.uint64(2)) | (kind << np.uint64(1)) | (sig & np.uint64(1)), kind="stable")
-        owner, rank = owner[order], ((kind << np.uint64(1)) | (sig & np.uint64(1)))[order]
-        base = (sig >> np.uint64(1))[order]
+            sig = values.view(np.uint32).astype(np.uint64)
+            keys.append(((sig >> np.uint64(1)) << np.uint64(33)) | np.uint64(k << 32) | ((sig & np.uint64(1)) << np.uint64(31)) | np.repeat(np.arange(n, dtype=np.uint64), counts))
+        key = np.concatenate(keys)
+        del keys, sig
+        key.sort()
+        owner, rank, base = (key & np.uint64(0x7FFFFFFF)).astype(np.int32), ((key >> np.uint64(31)) & np.uint64(3)).astype(np.int8), (key >> np.uint64(33)).astype(np.uint32)
+        del key
         first = np.flatnonzero(np.r_[True, base[1:] != base[:-1]]) if len(base) else np.zeros(0, np.int64)
         length = np.diff(np.r_[first, len(base)])
-        run_of = np.repeat(np.arange(len(first)), length)
+        run_of = np.repeat(np.arange(len(first), dtype=np.int32), length)
         ends = first + length
-        at = np.arange(len(base))
+        at = np.arange(len(base), dtype=np.int32)
         below = [np.bincount(run_of[rank == k], minlength=len(first)) for k in range(3)]
         less_from = first + below[0] + below[1]
         start = np.where(rank == 0, at + 1, less_from[run_of])

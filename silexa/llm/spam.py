@@ -12,6 +12,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from silexa.functions.batches import by_text
 from silexa.functions.totals import total_array
 from silexa.session import cut
 
@@ -25,16 +26,21 @@ LEAST_WORDS = 12
 #: Occurrences from which a pair of words counts as repeated on a page.
 REPEATED = 3
 ROUNDS, KEEP = 3, 0.5
-_KNOWN = 500_000
+_KNOWN = 1_000_000
+BREAK, BLANK = 0, 1
 
 # Directives that begin with a number sign but are no tags.
 _DIRECTIVES = frozenset("define include if ifdef ifndef elif else endif undef pragma error warning line".split())
-_LINK = re.compile(r"[a-z][a-z0-9+.-]*://|^\W*www\.|href=", re.I)
+_HREF = re.compile(r"^\W*www\.|href=", re.I)
 _TARGET = re.compile(r"\]\([^)\s]*\)?")
 _CODE = re.compile(r"\w_\w|\b0[xX][0-9a-fA-F]+|\w\(|[{};]$|\w[-.]>|==|&\w|\w\.[ch]\b|\w/\w")
 _PRICE = re.compile(r"^\W?\d+[.,]\d\d\W?$|^[A-Z]{2,4}-\d{2,}\W?$|^[$€£¥]\d|^\d+[$€£¥]")
 _LEET = re.compile(r"[a-z]\d+[a-z]|^\d+[a-z]*\d*[a-z]{2,}\d*[a-z]*$")
 _PLAIN = str.maketrans("013457@$", "oleastas")
+_LINES = re.compile("[\n\r\x0b\x0c\x1c-\x1e\x85\N{LINE SEPARATOR}\N{PARAGRAPH SEPARATOR}\0]+")
+#: Letters beyond which a word is no odd spelling.
+_LONG = 40
+_EDGES = "\"'`*_~.,;:!?()[]{}<>|•·/\\-–—=+«»“”"
 _HASHES = re.compile(r"(?<=\w)#(?=\w)")
 
 IS_LINK, IS_TAG, IS_CODE, IS_PRICE, IS_ODD, IS_NUMBER = (1 << k for k in range(6))
@@ -44,23 +50,54 @@ SEGMENTS = "doc_id bigint, n_words array<int>, features array<int>"
 
 
 class _Words(dict):
-    """(flags, key) of a token, None if it has no letter or digit; emptied beyond a bound."""
+    """Numbers of tokens, by which their flags and keys are looked up; emptied beyond a bound.
 
-    def __missing__(self, token: str) -> tuple[int, int] | None:
-        if len(self) > _KNOWN:
-            self.clear()
-        made = self[token] = self.describe(token)
-        return made
+    BREAK stands for the end of a line, BLANK for tokens without a letter or digit.
+    """
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.flags, self.keys = np.zeros(_KNOWN, np.int8), np.zeros(_KNOWN, np.uint64)
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self["\0"] = BREAK
+
+    def make_room(self) -> None:
+        """Between batches, for a batch may hold no more new tokens than are left room for."""
+        if len(self) > _KNOWN // 2:
+            self.forget()
+
+    def __missing__(self, token: str) -> int:
+        made, at = self.describe(token), BLANK
+        if made:
+            at = len(self) + 1
+            if at >= len(self.flags):
+                self.flags, self.keys = np.resize(self.flags, 2 * at), np.resize(self.keys, 2 * at)
+            self.flags[at], self.keys[at] = made
+        self[token] = at
+        return at
 
     @staticmethod
     def describe(token: str) -> tuple[int, int] | None:
-        bare = token.strip("\"'`*_~.,;:!?()[]{}<>|•·/\\-–—=+«»“”")
+        bare = token.strip(_EDGES)
+        if token[0] != "#" and token.isascii():  # most tokens need no pattern
+            if bare.isalpha():
+                if token[-1] not in "{};(" and bare[:3].lower() != "www":
+                    return 0, xxhash.xxh3_64_intdigest(bare.lower())
+            elif bare.isidentifier() and "_" in bare:
+                return IS_CODE, xxhash.xxh3_64_intdigest(bare.lower().translate(_PLAIN))
+            elif bare.isdigit() and bare == token:
+                return IS_NUMBER, xxhash.xxh3_64_intdigest(bare.translate(_PLAIN))
+            elif bare[:2] == "0x" and bare.isalnum():
+                return IS_CODE, xxhash.xxh3_64_intdigest(bare.lower().translate(_PLAIN))
         word = "".join(c for c in bare if c.isalnum() or c in "_'-")
         if not word:
             return None
         low = word.lower()
         flags = 0
-        if _LINK.search(token) or _TARGET.search(token):
+        if "://" in token or _HREF.search(token) or _TARGET.search(token):
             flags |= IS_LINK
         elif token[0] == "#" and len(token) > 1 and token[1].isalnum() and low not in _DIRECTIVES:
             flags |= IS_TAG
@@ -70,7 +107,7 @@ class _Words(dict):
             flags |= IS_CODE
         elif not any(c.isalpha() for c in low) or (len(low) in (2, 4, 8) and all(c in "0123456789abcdef" for c in low) and any(c.isdigit() for c in low)):
             flags |= IS_NUMBER
-        elif (bare[0] > "‖" and not bare[0].isalnum()) or _LEET.search(low):
+        elif (bare[0] > "‖" and not bare[0].isalnum()) or (len(low) <= _LONG and _LEET.search(low)):
             flags |= IS_ODD
         return flags, xxhash.xxh3_64_intdigest("://" if flags & IS_LINK else low.translate(_PLAIN))
 
@@ -81,23 +118,24 @@ def _runs(key: np.ndarray) -> np.ndarray:
 
 def segments(texts: list[str | None], words: _Words) -> dict[str, np.ndarray]:
     """Words of all texts with the segment and text they are in, and what share of each segment is what."""
-    flags, keys, lines, sizes, owners = [], [], 0, [], []
+    words.make_room()
+    flat: list[int] = []
+    counts = np.zeros(len(texts), np.int64)
     for i, text in enumerate(texts):
-        if not text:
-            continue
-        for line in _HASHES.sub(" #", text).splitlines():
-            found = [w for w in map(words.__getitem__, line.split()) if w is not None]
-            if found:
-                sizes.append(len(found))
-                owners.append(i)
-                flags += [f for f, _ in found]
-                keys += [k for _, k in found]
-    flag, key = np.array(flags, np.int64), np.array(keys, np.uint64)
-    size, owner = np.array(sizes, np.int64), np.array(owners, np.int64)
-    line = np.repeat(np.arange(len(size)), size)
-    place = np.arange(len(key)) - np.repeat(np.cumsum(size) - size, size)
+        if text:
+            before = len(flat)
+            flat += map(words.__getitem__, _LINES.sub(" \0 ", _HASHES.sub(" #", text)).split())
+            flat.append(BREAK)
+            counts[i] = len(flat) - before
+    token = np.array(flat, np.int64)
+    line, doc = np.cumsum(token == BREAK), np.repeat(np.arange(len(texts)), counts)
+    kept = token > BLANK
+    token, line, doc = token[kept], line[kept], doc[kept]
+    flag, key = words.flags[token], words.keys[token]
+    opens = _runs(line)
+    size = np.diff(np.r_[opens, len(line)])
+    place = np.arange(len(line)) - np.repeat(opens, size)
     window = np.minimum(place // SPAN, np.maximum(1, (np.repeat(size, size) + SPAN // 2) // SPAN) - 1)
-    doc = owner[line] if len(line) else line
     first = _runs(line * (1 << 20) + np.minimum(window, (1 << 20) - 1))
     length = np.diff(np.r_[first, len(key)])
     # pairs of words within a line that occur again and again on the page
@@ -133,8 +171,8 @@ def _slot(key: np.ndarray) -> np.ndarray:
 def _learned(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
     words, total = _Words(), np.zeros((2, LEXICON))
     for whole in batches:
-        for k in range(0, whole.num_rows, 2000):
-            s = segments(whole.column(1).slice(k, 2000).to_pylist(), words)
+        for batch in by_text(whole, 1):
+            s = segments(batch.column(1).to_pylist(), words)
             for row, chosen in zip(total, _seeds(s)):
                 row += np.bincount(_slot(s["key"])[np.repeat(chosen, s["length"])], minlength=LEXICON)
     return total.ravel()
@@ -161,8 +199,7 @@ def _featured(odds: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, table = _Words(), odds.value
         for whole in batches:
-            for k in range(0, whole.num_rows, 2000):
-                batch = whole.slice(k, 2000)
+            for batch in by_text(whole, 1):
                 s = segments(batch.column(1).to_pylist(), words)
                 ends = pa.array(np.r_[0, np.cumsum(np.bincount(s["doc"], minlength=batch.num_rows))].astype(np.int32))
                 lists = [pa.ListArray.from_arrays(ends, pa.array(x.astype(np.int32))) for x in (s["length"], _coded(s, table))]

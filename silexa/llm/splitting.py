@@ -52,18 +52,17 @@ def cuts(text: str, spans: list[tuple[int, int]], limit: int, overlap: int, max_
     words is the lower half searched too, and a gap between words or within one is the last
     resort. Every later piece begins ``overlap`` units before the end of the piece before it.
     """
-    n, start, out = len(spans), 0, []
+    n, start, done, out = len(spans), 0, 0, []
     overlap = max(0, min(overlap, limit - 1))
     while True:
         end = min(start + limit, n)
         if max_chars is not None:
-            low = start + overlap * bool(out) + 1
-            while end > low and spans[end - 1][1] - spans[start][0] > max_chars:
+            while end > done + 1 and spans[end - 1][1] - spans[start][0] > max_chars:
                 end -= 1
         if end == n:
             out.append((start, n))
             return out
-        first = start + overlap + 1
+        first = min(max(done + 1, start + overlap + 1), end)
         best, at = WORD + 1, end
         for low, high in ((max(first, start + (end - start) // 2), end), (first, max(first, start + (end - start) // 2) - 1)):
             for i in range(high, low - 1, -1):
@@ -75,7 +74,9 @@ def cuts(text: str, spans: list[tuple[int, int]], limit: int, overlap: int, max_
             if best < WORD:
                 break
         out.append((start, at))
-        start = max(at - overlap, start + 1)
+        start, done = max(at - overlap, start + 1), at
+        while max_chars is not None and start < at and spans[at][1] - spans[start][0] > max_chars:
+            start += 1  # the overlap gives way to the limit on characters
 
 
 def body_start(text: str, section_path: str | None) -> int:
