@@ -674,3 +674,24 @@ def join_kinds(spark: SparkSession, sf: str) -> DataFrame:
     }
     counted = [df.agg(F.count("*").alias("rows")).select(F.lit(k).alias("kind"), "rows") for k, df in parts.items()]
     return counted[0].unionByName(counted[1]).unionByName(counted[2]).unionByName(counted[3])
+
+
+# ---- events ----
+
+
+@query("SELECT date_trunc('day', ts) AS start, date_trunc('day', ts) + INTERVAL 1 DAY AS \"end\", event_type, count(*) AS n FROM events GROUP BY ALL")
+def event_days(spark: SparkSession, sf: str) -> DataFrame:
+    from silexa.streaming.ingest import windowed
+
+    return windowed(table(spark, sf, "events"), "ts", ["event_type"], "1 day")
+
+
+@query(
+    """WITH e AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS opens FROM events WHERE ts IS NOT NULL),
+    s AS (SELECT user_id, ts, sum(opens) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM e)
+    SELECT min(ts) AS start, max(ts) + INTERVAL 6 HOUR AS "end", user_id, count(*) AS n FROM s GROUP BY user_id, k"""
+)
+def event_sessions(spark: SparkSession, sf: str) -> DataFrame:
+    from silexa.streaming.ingest import sessions
+
+    return sessions(table(spark, sf, "events"), "ts", "user_id", "6 hours")
