@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from silexa.functions.arrays import listed
-from silexa.functions.text import content_words, lines, word_count, words
+from silexa.functions.text import content_words, headings, lines, word_count, words
+from silexa.operators.ordering import position_within, running_total
 
 MOST_WORDS, LEAST_WORDS = 400, 50
 
@@ -82,21 +83,32 @@ def merge_small(chunks: DataFrame, doc: str, order: str, least: int = LEAST_WORD
     A chunk under ``least`` content words joins the one before it; if the first group is still
     under it and another follows, it joins that one, whose section_path stays. The size of a
     merged chunk counts the words of all its texts less those of its first section_path. A
-    document of one chunk is left as it is. Rows are numbered anew from 0.
+    document of one chunk is left as it is. Rows are numbered anew from 0. ``order`` has to be
+    unique; null documents are one document.
+
+    Groups are runs between running totals over all rows, so a document of very many rows is
+    spread over tasks; one task holds the texts of one merged chunk.
     """
-    w = Window.partitionBy(doc).orderBy(order)
-    rows = chunks.select(doc, order, "section_path", "text", word_count(F.col("text")).alias("_w"), content_words(F.col("text"), F.col("section_path")).alias("_c"))
-    rows = rows.withColumn("_i", F.row_number().over(w))
-    rows = rows.withColumn("_g", F.sum(F.when((F.col("_i") == 1) | (F.col("_c") >= least), 1).otherwise(0)).over(w))
-    group = Window.partitionBy(doc)
-    head = F.sum(F.when(F.col("_g") == 1, F.when(F.col("_i") == 1, F.col("_c")).otherwise(F.col("_w")))).over(group)
-    rows = rows.withColumn("_m", F.when((head < least) & (F.max("_g").over(group) > 1), F.greatest(F.col("_g"), F.lit(2))).otherwise(F.col("_g")))
-    parts = F.array_sort(F.collect_list(F.struct("_i", "_g", F.coalesce("text", F.lit("")).alias("text"), "section_path")))
-    folded = rows.groupBy(doc, "_m").agg(F.min(order).alias("first"), F.count("*").alias("rows"), parts.alias("p"), F.sum("_w").alias("_w"))
-    keep = F.element_at(F.filter("p", lambda x: x["_g"] == F.element_at(F.col("p"), -1)["_g"]), 1)["section_path"]
-    text = F.array_join(F.transform("p", lambda x: x["text"]), "\n\n")
-    numbered = (F.row_number().over(Window.partitionBy(doc).orderBy("_m")) - 1).alias("chunk_index")
-    return folded.select(doc, numbered, "first", "rows", (F.col("_w") - word_count(keep)).alias("n_words"), keep.alias("section_path"), text.alias("text"))
+    rows = chunks.select(doc, order, "section_path", F.coalesce("text", F.lit("")).alias("text"), word_count(F.col("text")).alias("_w"), content_words(F.col("text"), F.col("section_path")).alias("_c"))
+    firsts = rows.groupBy(doc).agg(F.min(order).alias("_o")).select("_o", F.lit(True).alias("_opens"))
+    rows = rows.join(firsts, F.col(order) == F.col("_o"), "left").withColumn("_opens", F.coalesce("_opens", F.lit(False))).drop("_o")
+    rows = running_total(rows, [F.col(doc), F.col(order)], (F.col("_opens") | (F.col("_c") >= least)).cast("int"), "_g")
+
+    head = F.min_by(F.struct("section_path", "_c", "_w"), order)
+    groups = rows.groupBy("_g").agg(F.first(doc).alias(doc), F.max("_opens").alias("_opens"), F.sum("_w").alias("_w"), head.alias("_h"), F.min(order).alias("_first"), F.count("*").alias("rows"))
+    size = F.col("_w") - F.col("_h._w") + F.col("_h._c")
+    docs = groups.groupBy(doc).agg(F.min("_g").alias("_from"), F.count("*").alias("_n"), F.max(F.when(F.col("_opens"), size)).alias("_size"))
+    docs = docs.select(F.col(doc).alias("_doc"), "_from", ((F.col("_size") < least) & (F.col("_n") > 1)).alias("_joins"))
+    groups = groups.join(docs, F.col(doc).eqNullSafe(F.col("_doc")))
+    moved = F.col("_joins") & F.col("_opens")
+    groups = groups.select("_g", doc, (F.col("_g") + moved.cast("int")).alias("_m"), (F.col("_from") + F.col("_joins").cast("int")).alias("_from"), "_w", F.col("_h.section_path").alias("section_path"), F.col("_first"), "rows")
+
+    last = F.max_by("section_path", "_g")
+    whole = groups.groupBy("_m").agg(F.first(doc).alias(doc), F.first("_from").alias("_from"), F.min("_first").alias("first"), F.sum("rows").alias("rows"), F.sum("_w").alias("_w"), last.alias("section_path"))
+    texts = rows.select("_g", order, "text").join(groups.select("_g", "_m"), "_g").groupBy("_m").agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), "text"))).alias("t"))
+    text = F.array_join(F.transform("t", lambda x: x["text"]), "\n\n")
+    index = (F.col("_m") - F.col("_from")).cast("int").alias("chunk_index")
+    return whole.join(texts, "_m").select(doc, index, "first", "rows", (F.col("_w") - word_count(F.col("section_path"))).alias("n_words"), "section_path", text.alias("text"))
 
 
 def subtree_words(nodes: DataFrame) -> DataFrame:
@@ -128,8 +140,6 @@ def tree_chunks(nodes: DataFrame, limit: int = MOST_WORDS) -> DataFrame:
 
 def section_nodes(chunks: DataFrame, doc: str) -> DataFrame:
     """The tree of the sections of documents, from section paths: every prefix of a path is a node."""
-    from silexa.functions.text import headings
-
     rows = chunks.select(F.col(doc).alias("doc"), headings(F.col("section_path")).alias("path"), F.greatest(content_words(F.col("text"), F.col("section_path")), F.lit(0)).alias("n"))
     rows = rows.where(F.size("path") > 0)
     ups = F.transform(F.sequence(F.lit(1), F.size("path")), lambda n: F.struct(F.slice(F.col("path"), F.lit(1), n).alias("path"), F.when(n == F.size("path"), F.col("n")).otherwise(0).alias("n")))
@@ -156,8 +166,8 @@ def line_runs(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def renumber(chunks: DataFrame, doc: str, *order: str) -> DataFrame:
-    """Adds ``position``: 0, 1, 2, ... within each document."""
-    return chunks.withColumn("position", F.row_number().over(Window.partitionBy(doc).orderBy(*order)) - 1)
+    """Adds ``position``: 0, 1, 2, ... within each document. The order has to be total."""
+    return position_within(chunks, doc, [F.col(c) for c in order])
 
 
 def refs_of(chunks: DataFrame, column: str) -> DataFrame:

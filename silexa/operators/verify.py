@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from silexa.functions.arrays import listed
 from silexa.functions.symbols import bare_symbol, register_symbols, tokens
 from silexa.functions.text import content_words, squashed, unescaped, word_count
+from silexa.operators.ordering import global_position
 
 LEAST_SOURCE_WORDS = 50
 
@@ -139,22 +140,6 @@ def unknown_tokens(docs: DataFrame, key: str, known: DataFrame) -> DataFrame:
     return counted.join(known.select(unescaped(F.col("name")).alias("token")).distinct(), "token", "left_anti")
 
 
-def global_position(rows: DataFrame, order: list, name: str = "position") -> DataFrame:
-    """Rows numbered from 0 in a total order, without gathering them in one task.
-
-    Rows are range-partitioned and numbered within partitions; the sizes of the partitions before
-    are added. ``order`` has to be a total order. The rows are written once to the shared folder,
-    so both uses see the same partitions.
-    """
-    from silexa.session import cut
-
-    parts = cut(rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranges")
-    sizes = parts.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = sizes.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))  # one row per partition
-    within = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-    return parts.withColumn("_k", within - 1).join(F.broadcast(before), "_part").withColumn(name, F.col("_k") + F.col("_before")).drop("_part", "_k", "_before")
-
-
 def length_batches(docs: DataFrame, key: str, size: int = 32) -> DataFrame:
     """Batches of ``size`` texts in order of length: (key, length, position, batch)."""
     rows = docs.select(key, F.coalesce(F.length("text"), F.lit(0)).alias("length"))

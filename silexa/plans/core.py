@@ -424,7 +424,7 @@ def tree_chunks(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT raw_id, file_path, (row_number() OVER (PARTITION BY file_path ORDER BY raw_id) - 1)::INT AS position FROM raw_chunks")
 def renumber(spark: SparkSession, sf: str) -> DataFrame:
-    return chunking.renumber(table(spark, sf, "raw_chunks"), "file_path", "raw_id").select("raw_id", "file_path", "position")
+    return chunking.renumber(table(spark, sf, "raw_chunks").select("raw_id", "file_path"), "file_path", "raw_id")
 
 
 _BATCHES = "(SELECT doc_id, coalesce(length(text), 0) AS length, row_number() OVER (ORDER BY coalesce(length(text), 0), doc_id) - 1 AS position FROM documents)"
