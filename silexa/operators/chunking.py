@@ -84,14 +84,15 @@ def merge_small(chunks: DataFrame, doc: str, order: str, least: int = LEAST_WORD
     under it and another follows, it joins that one, whose section_path stays. The size of a
     merged chunk counts the words of all its texts less those of its first section_path. A
     document of one chunk is left as it is. Rows are numbered anew from 0. ``order`` has to be
-    unique; null documents are one document.
+    unique within a document; null documents are one document.
 
     Groups are runs between running totals over all rows, so a document of very many rows is
     spread over tasks; one task holds the texts of one merged chunk.
     """
     rows = chunks.select(doc, order, "section_path", F.coalesce("text", F.lit("")).alias("text"), word_count(F.col("text")).alias("_w"), content_words(F.col("text"), F.col("section_path")).alias("_c"))
-    firsts = rows.groupBy(doc).agg(F.min(order).alias("_o")).select("_o", F.lit(True).alias("_opens"))
-    rows = rows.join(firsts, F.col(order) == F.col("_o"), "left").withColumn("_opens", F.coalesce("_opens", F.lit(False))).drop("_o")
+    firsts = rows.groupBy(F.col(doc).alias("_d")).agg(F.min(order).alias("_o")).select("_d", "_o", F.lit(True).alias("_opens"))
+    same = (F.col(order) == F.col("_o")) & F.col(doc).eqNullSafe(F.col("_d"))
+    rows = rows.join(firsts, same, "left").withColumn("_opens", F.coalesce("_opens", F.lit(False))).drop("_o", "_d")
     rows = running_total(rows, [F.col(doc), F.col(order)], (F.col("_opens") | (F.col("_c") >= least)).cast("int"), "_g")
 
     head = F.min_by(F.struct("section_path", "_c", "_w"), order)

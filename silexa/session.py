@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import io
 import os
 import pathlib
 import shutil
@@ -67,17 +68,22 @@ _shipped: set[str] = set()
 def ship(spark: SparkSession) -> None:
     """Makes this package importable in Python workers, once per application.
 
-    Nothing is done where PYTHONPATH already names the folder that holds the package.
+    It goes through the shared folder. Nothing is done where PYTHONPATH already names the folder
+    that holds the package.
     """
     context = spark.sparkContext
     package = pathlib.Path(__file__).resolve().parent
     paths = os.environ.get("PYTHONPATH", "").split(os.pathsep)
     if context.applicationId in _shipped or any(p and pathlib.Path(p).resolve() == package.parent for p in paths):
         return
-    made = tempfile.mkdtemp(prefix="silexa-")
-    atexit.register(shutil.rmtree, made, ignore_errors=True)
-    with zipfile.ZipFile(f"{made}/silexa.zip", "w") as archive:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
         for file in sorted(package.rglob("*.py")):
             archive.write(file, file.relative_to(package.parent))
-    context.addPyFile(f"{made}/silexa.zip")
+    target = f"{shared_dir(spark)}/silexa/{uuid.uuid4().hex}/silexa.zip"
+    place = context._jvm.org.apache.hadoop.fs.Path(target)
+    stream = place.getFileSystem(context._jsc.hadoopConfiguration()).create(place)
+    stream.write(packed.getvalue())
+    stream.close()
+    context.addPyFile(target)
     _shipped.add(context.applicationId)
