@@ -225,6 +225,7 @@ def _candidates(similarity: float):
         ids, sizes = group["class_id"].to_numpy(), group["size"].to_numpy().astype(np.int64)
         own, scan = group["own"].to_numpy(), group["scan"].to_numpy()
         bits = np.frombuffer(b"".join(group["bits"].to_pylist()), np.uint64).reshape(n, -1)
+        block = max(1, min(BLOCK, (64 << 20) // (8 * bits.shape[1])))
         found: list[np.ndarray] = []
 
         def check(a: np.ndarray, b: np.ndarray) -> None:
@@ -260,10 +261,10 @@ def _candidates(similarity: float):
         done = np.cumsum(many[active])
         k = 0
         while k < len(active):
-            upto = max(k + 1, int(np.searchsorted(done, (done[k - 1] if k else 0) + BLOCK, side="right")))
+            upto = max(k + 1, int(np.searchsorted(done, (done[k - 1] if k else 0) + block, side="right")))
             some = active[k:upto]
-            for low in range(0, int(many[some].max()), BLOCK):  # one run may be longer than a block
-                part = np.clip(many[some] - low, 0, BLOCK)
+            for low in range(0, int(many[some].max()), block):  # one run may be longer than a block
+                part = np.clip(many[some] - low, 0, block)
                 shift = np.arange(part.sum()) - np.repeat(np.cumsum(part) - part, part)
                 check(np.repeat(owner[some], part), owner[np.repeat(start[some] + low, part) + shift])
             k = upto

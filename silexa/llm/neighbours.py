@@ -20,6 +20,8 @@ CELL, REGION, HEAVY = 100, 8_000, 16_000
 LISTED = 100_000
 #: Query vectors compared with a block of a region in one task.
 ASKED = 60_000
+#: Pairs compared exactly at a time.
+PAIRS = 200_000
 SENT = "place int, region bigint, block int, part int, id bigint, cell int, probes array<int>, vector binary"
 HITS = "id bigint, other bigint, similarity double"
 
@@ -42,6 +44,7 @@ class Hashes:
         moves = [m for m in itertools.product((0, -1, 1), repeat=k) if sum(map(abs, m)) <= most]
         self.moves = np.array(moves, np.int64)
         self.probes = min(probes, len(moves))
+        self.further = min(2 * self.probes, len(moves))
 
     def slots(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         z = (unit @ self.a + self.b) / np.float32(WIDTH)
@@ -53,13 +56,11 @@ class Hashes:
         return np.cumsum(slots * self.weights, axis=-1)[..., self.depth - 1 :]
 
     def perturbed(self, slots: np.ndarray, inside: np.ndarray) -> np.ndarray:
-        """The slots of the most promising cells of each vector, its own included."""
+        """The slots of the ``further`` most promising cells of each vector, its own included, in order."""
         cost = (inside**2) @ (self.moves == -1).T.astype(np.float32) + ((1 - inside) ** 2) @ (self.moves == 1).T.astype(np.float32)
-        if self.probes < cost.shape[1]:
-            best = np.argpartition(cost, self.probes - 1, axis=1)[:, : self.probes]
-        else:
-            best = np.broadcast_to(np.arange(cost.shape[1]), cost.shape)
-        return slots[:, None, :] + self.moves[best]
+        best = np.argpartition(cost, self.further - 1, axis=1)[:, : self.further] if self.further < cost.shape[1] else np.broadcast_to(np.arange(cost.shape[1]), cost.shape)
+        order = np.argsort(np.take_along_axis(cost, best, axis=1), axis=1, kind="stable")
+        return slots[:, None, :] + self.moves[np.take_along_axis(best, order, axis=1)]
 
     def regions(self, prefixes: np.ndarray, heavy: list[np.ndarray]) -> np.ndarray:
         """The shortest prefix that isn't heavy; that of all slots if all are."""
@@ -115,8 +116,12 @@ def _sent(tables: list[Hashes], heavy: list[list[np.ndarray]], grids: list[dict[
         some = np.flatnonzero(asks)
         if len(some):
             asked = table.prefixes(table.perturbed(slots[some], inside[some]))
-            where, codes = table.regions(asked, heavy[t]).ravel(), _cells(asked).ravel()
-            who = np.repeat(some, asked.shape[1])
+            where, codes = table.regions(asked, heavy[t]), _cells(asked)
+            # cells behind the first ones are visited where the vector is sent anyway
+            near = np.ones(where.shape, bool)
+            for low in range(table.probes, where.shape[1], 32):
+                near[:, low : low + 32] = (where[:, low : low + 32, None] == where[:, None, : table.probes]).any(axis=2)
+            who, where, codes = np.broadcast_to(some[:, None], near.shape)[near], where[near], codes[near]
             order = np.lexsort((where, who))
             who, where, codes = who[order], where[order], codes[order]
             first = np.flatnonzero(np.r_[True, (who[1:] != who[:-1]) | (where[1:] != where[:-1])])
@@ -175,7 +180,7 @@ def _searched(k: int, least: float | None):
         unit = np.frombuffer(b"".join(group["vector"].to_pylist()), np.float32).reshape(len(ids), -1)
         data = np.flatnonzero(np.asarray(cells.is_valid()))
         asks = np.flatnonzero(np.asarray(cells.is_null()))
-        asker, other, value = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+        asker, other, value, held = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)], 0
         if len(data) and len(asks):
             own = cells.take(pa.array(data)).to_numpy()
             order = np.argsort(own, kind="stable")
@@ -194,21 +199,27 @@ def _searched(k: int, least: float | None):
                     some = q[low : low + step]
                     score = unit[some] @ unit[d].T
                     if least is not None:
-                        i, j = np.divmod(np.flatnonzero(score.ravel() >= least - 1e-4), len(d))
+                        hits = np.flatnonzero(score.ravel() >= least - 1e-4)
                     elif len(d) > k + 1:
-                        j = np.argpartition(-score, k, axis=1)[:, : k + 1].ravel()
-                        i = np.repeat(np.arange(len(some)), k + 1)
+                        hits = (np.argpartition(-score, k, axis=1)[:, : k + 1] + np.arange(len(some))[:, None] * len(d)).ravel()
                     else:
-                        i, j = np.divmod(np.arange(score.size), len(d))
-                    i, j = some[i], d[j]
-                    differ = ids[i] != ids[j]
-                    i, j = i[differ], j[differ]
-                    exact = np.einsum("ij,ij->i", unit[i].astype(np.float64), unit[j].astype(np.float64))
-                    if least is not None:
-                        i, j, exact = i[exact >= least], j[exact >= least], exact[exact >= least]
-                    asker.append(i)
-                    other.append(j)
-                    value.append(exact)
+                        hits = np.arange(score.size)
+                    for piece in range(0, len(hits), PAIRS):
+                        i, j = np.divmod(hits[piece : piece + PAIRS], len(d))
+                        i, j = some[i], d[j]
+                        differ = ids[i] != ids[j]
+                        i, j = i[differ], j[differ]
+                        exact = np.einsum("ij,ij->i", unit[i].astype(np.float64), unit[j].astype(np.float64))
+                        if least is not None:
+                            i, j, exact = i[exact >= least], j[exact >= least], exact[exact >= least]
+                        asker.append(i)
+                        other.append(j)
+                        value.append(exact)
+                        held += len(i)
+                        if held > PAIRS:  # no more than the best are kept of however many
+                            a, o, v = np.concatenate(asker), np.concatenate(other), np.concatenate(value)
+                            kept = best(a, o, v, ids)
+                            asker, other, value, held = [a[kept]], [o[kept]], [v[kept]], 0
         a, o, v = np.concatenate(asker), np.concatenate(other), np.concatenate(value)
         kept = best(a, o, v, ids)
         return pa.table({"id": pa.array(ids[a[kept]]), "other": pa.array(ids[o[kept]]), "similarity": pa.array(v[kept])})
@@ -227,7 +238,8 @@ def nearest(chunks: DataFrame, k: int = 5, queries: Column | None = None, least:
 
     The number of hashes grows with the logarithm of the number of vectors, so cells keep their
     size; the number of probes is 2/3 of its square unless given. Cells are shuffled as regions
-    (their first hashes), to which a vector is sent once for all its probes. Regions of too many
+    (their first hashes), to which a vector is sent once for all its probes; there it visits the
+    next most promising cells too, as many again, where they lie in those regions. Regions of too many
     vectors are cut by further hashes, and single cells of too many into blocks, each compared
     with all that ask: nothing is left out.
 
@@ -249,7 +261,7 @@ def nearest(chunks: DataFrame, k: int = 5, queries: Column | None = None, least:
     tally = good.select("vector").mapInArrow(_tallied(made), "place int, level int, prefix bigint, n bigint")
     crowded = tally.groupBy("place", "level", "prefix").agg(F.sum("n").alias("n")).where(F.col("n") > limit).collect()  # at most LISTED a level
     heavy = [[np.array([r["prefix"] for r in crowded if (r["place"], r["level"]) == (t, level)], np.int64) for level in range(hashes - depth + 1)] for t in range(tables)]
-    grids = [{r["prefix"]: (-(-r["n"] // limit), -(-r["n"] * tried // ASKED)) for r in crowded if (r["place"], r["level"]) == (t, hashes - depth)} for t in range(tables)]
+    grids = [{r["prefix"]: (-(-r["n"] // limit), -(-r["n"] * 4 // ASKED)) for r in crowded if (r["place"], r["level"]) == (t, hashes - depth)} for t in range(tables)]
 
     sent = good.select("id", "vector", "asks").mapInArrow(_sent(made, heavy, grids), SENT)
     hits = sent.groupBy("place", "region", "block", "part").applyInArrow(_searched(k, least), HITS)

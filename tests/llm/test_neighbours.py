@@ -44,12 +44,21 @@ def test_recall(spark, least, probes, tables):
 def test_blocks_and_deeper_regions_lose_nothing(spark, monkeypatch):
     rows = _rows()
     plain = neighbours.nearest(spark.createDataFrame(rows, KIND), 5, least=0.8, dimension=16).collect()
-    for name, value in (("HEAVY", 7), ("ASKED", 40)):
+    for name, value in (("HEAVY", 7), ("ASKED", 40), ("PAIRS", 9)):
         monkeypatch.setattr(neighbours, name, value)
     cut = neighbours.nearest(spark.createDataFrame(rows, KIND), 5, least=0.8, dimension=16).collect()
     assert {(r["id"], r["other"], r["rank"]) for r in cut} == {(r["id"], r["other"], r["rank"]) for r in plain}
 
 
+def test_many_copies(spark):
+    """A third and more of all vectors are one; each gets the copies of smallest id."""
+    rows = _rows(600) + [(i, [1.0] * 16) for i in range(2000, 2500)]
+    got = {}
+    for r in neighbours.nearest(spark.createDataFrame(rows, KIND), 3, least=0.85, dimension=16).collect():
+        got.setdefault(r["id"], []).append((r["rank"], r["other"]))
+    assert [o for _, o in sorted(got[2000])] == [2001, 2002, 2003] and [o for _, o in sorted(got[2400])] == [2000, 2001, 2002]
+
+
 def test_unusable_vectors_and_ties(spark):
     e = [1.0, 0.0, 0.0, 0.0]
     rows = [(1, e), (2, e), (3, [2.0, 0.0, 0.0, 0.0]), (4, e), (5, None), (6, [0.0] * 4), (7, [1.0, 2.0]), (8, [float("nan"), 1.0, 0.0, 0.0]), (9, [float("inf"), 1.0, 0.0, 0.0]), (None, e), (10, [0.0, 1.0, 0.0, 0.0]), (11, [1.0, None, 0.0, 0.0])]
