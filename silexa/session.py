@@ -50,6 +50,9 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{made}"
 
 
+_tables: dict[str, list[str]] = {}
+
+
 def cut(df: DataFrame, name: str = "stage") -> DataFrame:
     """Writes ``df`` as a table in the shared folder and reads it back.
 
@@ -59,9 +62,20 @@ def cut(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/silexa/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _tables.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_tables(spark: SparkSession) -> int:
+    """Deletes the tables that ``cut`` wrote in this application, when no frame made from them is needed; returns their number."""
+    context = spark.sparkContext
+    paths = _tables.pop(context.applicationId, [])
+    for path in paths:
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+    return len(paths)
+
+
 _shipped: set[str] = set()
 
 

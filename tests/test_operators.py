@@ -126,6 +126,14 @@ def test_store(spark, tmp_path):
     assert verify.missing_columns(chunks.drop("chip"), {"chip": "string", "text": "string"}) == ["chip"]
 
 
+def test_tables_in_the_shared_folder(spark):
+    from silexa.session import CHECKPOINT_KEY, cut, drop_tables, shared_dir
+
+    table = cut(spark.range(5), "five")
+    assert table.count() == 5 and spark.conf.get(CHECKPOINT_KEY) == shared_dir(spark) and shared_dir(spark) in table.inputFiles()[0]
+    assert drop_tables(spark) >= 1 and drop_tables(spark) == 0
+
+
 def test_embedding(spark):
     docs = spark.createDataFrame([(1, "reset the clock"), (2, None), (3, "reset the clock"), (4, "other words")], "i int, text string")
     got = {r["i"]: list(r["vector"]) for r in embed.embed_documents(docs, lambda: embed.hashing_embedder(16)).collect()}

@@ -31,7 +31,7 @@ def test_names_and_breadcrumbs(spark):
     rows = spark.createDataFrame([("A", "t"), ("", "t"), (None, "t")], "p string, t string")
     assert [r[0] for r in rows.select(text.with_breadcrumb(F.col("p"), F.col("t"))).collect()] == ["A\n\nt", "t", "t"]
     assert _column(spark, [r"I2C\_A\%\&", " x "], text.unescaped) == ["I2C_A%&", "x"]
-    assert _column(spark, ["ESP-a_B"], text.squashed) == ["espab"]
+    assert _column(spark, ["CHIP-a_B"], text.squashed) == ["chipab"]
     assert _column(spark, ["a  b \n \n\n\n c  "], text.tidy) == ["a b\n\nc"]
     assert _column(spark, ["a \n  b"], text.one_line) == ["a b"]
     assert _column(spark, [["a", "", None, "b"]], text.paragraphs, "array<string>") == ["a\n\nb"]
