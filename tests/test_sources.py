@@ -123,6 +123,35 @@ def test_folders_of_files(spark, tmp_path):
     assert sorted(r["target"] for r in latex.include_edges(sources).collect()) == ["b", "d"]
 
 
+def test_manuals_of_several_revisions(spark, tmp_path):
+    chapter = r"\begin{document}\chapter{One}\section{Same} %s \section{Other} \iftagged{A-latest}{new}{old} \untagged{A-v1}{unless} \tagged{A-no}{never} \tagged{A}{mine} %s\end{document}".replace("%s", "word " * 300)
+    for name, content in {"A/01-x__EN.tex": chapter, "A/A-main__EN.tex": r"\usetag{\chipseries}\usetag{A-latest, A-too} % \usetag{A-no}", "A/A-chip-revision-v1.3__EN.tex": r"\def\tag{A-v1}\usetag{\tag}", "B/01-y__EN.tex": chapter, "00-shared/s.sty": ""}.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(content)
+    read = latex.read_manuals(spark, str(tmp_path))
+    by = {}
+    for r in read.orderBy("position").collect():
+        by.setdefault((r["chip"], *r["revisions"]), []).append(r["text"])
+    told = {k: {w for w in ("new", "old", "unless", "never", "mine") if any(w in t.split() for t in v)} for k, v in by.items()}
+    assert told == {("A", "mainline"): {"new", "unless", "mine"}, ("A", "v1.3"): {"old", "mine"}, ("B", "mainline"): {"old", "unless"}}
+    once = latex.one_per_text(read).where("chip = 'A'").orderBy("first_seen").collect()
+    assert sorted(r["revisions"] for r in once) == [["mainline"], ["mainline", "v1.3"], ["v1.3"]] and [r["first_revision"] for r in once if len(r["revisions"]) == 2] == ["mainline"]
+
+
+def test_tags_of_a_file_reach_what_it_includes():
+    known = {"A/01.tex": r"\usetag{t}\begin{document}\input{02}\end{document}", "A/02.tex": r"\tagged{t}{yes}\untagged{t}{no}"}
+    assert latex.resolve("A/01.tex", known).text == "yes" and latex.resolve("A/02.tex", known).text == "no"
+
+
+def test_grammar(spark):
+    rows = [("b.tex", r"\begin{odd*}\strange{\emph{\odd x}} a\\strange \verb|\no| \section{S}\end{odd*}"), ("a.tex", "\\odd % \\no\n\\begin{verbatim}\\no\\end{verbatim}\\begin{register}\\end{register}")]
+    got = {(r["kind"], r["name"]): (r["n"], r["example"], r["known"]) for r in latex.grammar(spark.createDataFrame(rows, "name string, text string")).collect()}
+    assert got == {
+        ("environment", "odd"): (1, "b.tex", False), ("environment", "verbatim"): (1, "a.tex", True), ("environment", "register"): (1, "a.tex", True), ("macro", "odd"): (2, "a.tex", False),
+        ("macro", "strange"): (1, "b.tex", False), ("macro", "emph"): (1, "b.tex", False), ("macro", "verb"): (1, "b.tex", True), ("macro", "section"): (1, "b.tex", True),
+    }
+
+
 def test_jsonl_and_stream(spark, tmp_path):
     for k, rows in enumerate(([{"text": "b", "file_path": "p"}], [{"text": "a", "file_path": "p", "chips": []}, {"text": "b", "file_path": "p"}])):
         (tmp_path / f"{k}.jsonl").write_text("".join(json.dumps(r) + "\n" for r in rows) + ("not json\n" if k else ""))
