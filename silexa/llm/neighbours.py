@@ -201,7 +201,8 @@ def _searched(k: int, least: float | None):
                     if least is not None:
                         hits = np.flatnonzero(score.ravel() >= least - 1e-4)
                     elif len(d) > k + 1:
-                        hits = (np.argpartition(-score, k, axis=1)[:, : k + 1] + np.arange(len(some))[:, None] * len(d)).ravel()
+                        # all that may be among the k + 1 best, however many tie: the exact comparison tells them apart
+                        hits = np.flatnonzero((score >= np.partition(score, len(d) - k - 1, axis=1)[:, len(d) - k - 1, None] - 1e-4).ravel())
                     else:
                         hits = np.arange(score.size)
                     for piece in range(0, len(hits), PAIRS):

@@ -59,6 +59,19 @@ def test_many_copies(spark):
     assert [o for _, o in sorted(got[2000])] == [2001, 2002, 2003] and [o for _, o in sorted(got[2400])] == [2000, 2001, 2002]
 
 
+def test_many_copies_without_a_least_similarity(spark, monkeypatch):
+    """The copies of smallest id, in whatever order the rows come and in blocks too."""
+    rows = [(i, [1.0] * 16) for i in range(2499, 1999, -1)] + _rows(600)
+    np.random.default_rng(1).shuffle(rows)
+    for changes in ({}, {"HEAVY": 150, "ASKED": 90, "PAIRS": 70}):
+        for name, value in changes.items():
+            monkeypatch.setattr(neighbours, name, value)
+        got = {}
+        for r in neighbours.nearest(spark.createDataFrame(rows, KIND), 3, dimension=16).collect():
+            got.setdefault(r["id"], []).append((r["rank"], r["other"]))
+        assert all([o for _, o in sorted(got[i])] == [o for o in range(2000, 2004) if o != i][:3] for i in range(2000, 2500))
+
+
 def test_unusable_vectors_and_ties(spark):
     e = [1.0, 0.0, 0.0, 0.0]
     rows = [(1, e), (2, e), (3, [2.0, 0.0, 0.0, 0.0]), (4, e), (5, None), (6, [0.0] * 4), (7, [1.0, 2.0]), (8, [float("nan"), 1.0, 0.0, 0.0]), (9, [float("inf"), 1.0, 0.0, 0.0]), (None, e), (10, [0.0, 1.0, 0.0, 0.0]), (11, [1.0, None, 0.0, 0.0])]
