@@ -22,6 +22,8 @@ LISTED = 100_000
 ASKED = 60_000
 #: Pairs compared exactly at a time.
 PAIRS = 200_000
+#: Hashes up to which the given probes are as many as are tried, and slots of perturbed cells made at a time.
+FEW, MADE = 6, 4_000_000
 SENT = "place int, region bigint, block int, part int, id bigint, cell int, probes array<int>, vector binary"
 HITS = "id bigint, other bigint, similarity double"
 
@@ -40,9 +42,9 @@ class Hashes:
         self.a = rng.standard_normal((dimension, k)).astype(np.float32)
         self.b = rng.uniform(0, WIDTH, k).astype(np.float32)
         self.weights = rng.integers(1 << 20, 1 << 58, k) | 1
-        most = k if k <= 7 else 4
+        most = k if k <= 7 or 2 * probes > sum(math.comb(k, i) << i for i in range(5)) else 4
         moves = [m for m in itertools.product((0, -1, 1), repeat=k) if sum(map(abs, m)) <= most]
-        self.moves = np.array(moves, np.int64)
+        self.moves = np.array(moves, np.int8)
         self.probes = min(probes, len(moves))
         self.further = min(2 * self.probes, len(moves))
 
@@ -115,12 +117,18 @@ def _sent(tables: list[Hashes], heavy: list[list[np.ndarray]], grids: list[dict[
         yield from pack(t, unit, ids, np.arange(len(ids)), home, _cells(own), np.arange(len(ids) + 1), np.zeros(0, np.int32), mixed, True)
         some = np.flatnonzero(asks)
         if len(some):
+            yield from asking(t, unit, ids, some, slots, inside, mixed)
+
+    def asking(t, unit, ids, every, slots, inside, mixed) -> Iterator[pa.RecordBatch]:
+        table = tables[t]
+        step = max(1, MADE // (table.further * table.k))
+        for some in (every[low : low + step] for low in range(0, len(every), step)):
             asked = table.prefixes(table.perturbed(slots[some], inside[some]))
             where, codes = table.regions(asked, heavy[t]), _cells(asked)
             # cells behind the first ones are visited where the vector is sent anyway
-            near = np.ones(where.shape, bool)
-            for low in range(table.probes, where.shape[1], 32):
-                near[:, low : low + 32] = (where[:, low : low + 32, None] == where[:, None, : table.probes]).any(axis=2)
+            numbers = np.unique(where, return_inverse=True)[1].reshape(where.shape)
+            numbers += np.arange(len(some))[:, None] * (numbers.max() + 1)
+            near = np.isin(numbers, numbers[:, : table.probes])
             who, where, codes = np.broadcast_to(some[:, None], near.shape)[near], where[near], codes[near]
             order = np.lexsort((where, who))
             who, where, codes = who[order], where[order], codes[order]
@@ -228,7 +236,7 @@ def _searched(k: int, least: float | None):
     return run
 
 
-def nearest(chunks: DataFrame, k: int = 5, queries: Column | None = None, least: float | None = None, tables: int = 1, probes: int | None = None, dimension: int = 64, seed: int = 7) -> DataFrame:
+def nearest(chunks: DataFrame, k: int = 5, queries: Column | None = None, least: float | None = None, tables: int = 1, probes: int | None = None, growth: float = 1.0, dimension: int = 64, seed: int = 7) -> DataFrame:
     """(id, other, similarity, rank): the ``k`` vectors of highest cosine for every vector that meets ``queries`` (all of them by default).
 
     Every usable vector is stored in the cell of its hash values in each table; a query visits
@@ -238,7 +246,9 @@ def nearest(chunks: DataFrame, k: int = 5, queries: Column | None = None, least:
     below that cosine and makes the search far cheaper.
 
     The number of hashes grows with the logarithm of the number of vectors, so cells keep their
-    size; the number of probes is 2/3 of its square unless given. Cells are shuffled as regions
+    size; the number of probes is 2/3 of its square unless given. Given probes are multiplied by
+    ``growth`` for each hash beyond FEW; 3 keeps their share of all perturbed cells, without which
+    distant neighbours are lost in large tables. Cells are shuffled as regions
     (their first hashes), to which a vector is sent once for all its probes; there it visits the
     next most promising cells too, as many again, where they lie in those regions. Regions of too many
     vectors are cut by further hashes, and single cells of too many into blocks, each compared
@@ -255,7 +265,7 @@ def nearest(chunks: DataFrame, k: int = 5, queries: Column | None = None, least:
     n = max(1, good.count())
     hashes = max(2, round(math.log(max(1, n / CELL)) / math.log(SLOTS)))
     depth = min(hashes, max(1, round(math.log(max(1, n / REGION)) / math.log(SLOTS))))
-    tried = probes or max(12, round(hashes * hashes * 2 / 3))
+    tried = round(probes * growth ** max(0, hashes - FEW)) if probes else max(12, round(hashes * hashes * 2 / 3))
     made = [Hashes(seed + t, dimension, hashes, depth, tried) for t in range(tables)]
 
     limit = max(HEAVY, n // LISTED)

@@ -32,7 +32,7 @@ def p3_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p3_neighbours(spark: SparkSession, sf: str) -> DataFrame:
-    return neighbours.nearest(table(spark, sf, "chunks"), queries=F.col("chunk_id") % 100 == 0, tables=2, probes=400)
+    return neighbours.nearest(table(spark, sf, "chunks"), queries=F.col("chunk_id") % 100 == 0, tables=2, probes=400, growth=3.0)
 
 
 def _near(spark: SparkSession, sf: str) -> near_dups.NearDuplicates:

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from silexa.llm import neighbours
+from silexa.llm import neighbours, queries
 
 KIND = "chunk_id bigint, vector array<float>"
 
@@ -41,6 +41,17 @@ def test_recall(spark, least, probes, tables):
     assert all(r["rank"] <= 5 for r in got)
 
 
+def test_probes_of_the_query_grow_with_the_hashes(spark, monkeypatch, tmp_path):
+    """As many hashes as a million rows have: distant neighbours are found as they are in a small table."""
+    rows = [(i, [float(v) for v in x]) for i, x in enumerate(np.random.default_rng(5).standard_normal((3000, 64)), 1)]
+    spark.createDataFrame(rows, KIND).write.parquet(str(tmp_path / "chunks.parquet"))
+    monkeypatch.setattr(neighbours, "CELL", 3000 / neighbours.SLOTS**8)
+    monkeypatch.setattr(neighbours, "REGION", 100)
+    got = {(r["id"], r["other"]) for r in queries.p3_neighbours(spark, str(tmp_path)).collect()}
+    truth = {(i, o) for i, list_ in _brute(rows, 5).items() for o, _ in list_ if i % 100 == 0}
+    assert len(truth) == 150 and len(truth & got) >= 0.95 * len(truth)
+
+
 def test_blocks_and_deeper_regions_lose_nothing(spark, monkeypatch):
     rows = _rows()
     plain = neighbours.nearest(spark.createDataFrame(rows, KIND), 5, least=0.8, dimension=16).collect()
