@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -47,13 +48,17 @@ def boundary(text: str, spans: list[tuple[int, int]], i: int) -> int:
 def cuts(text: str, spans: list[tuple[int, int]], limit: int, overlap: int, max_chars: int | None = None) -> list[tuple[int, int]]:
     """Ranges of units of the pieces.
 
-    A piece is filled greedily; it ends at the most natural gap in the upper half of the space
-    left, at the last one of that level. Only where that half has no gap better than one between
-    words is the lower half searched too, and a gap between words or within one is the last
-    resort. Every later piece begins ``overlap`` units before the end of the piece before it.
+    Sections, of those that don't fit paragraphs, of these lines and so on, are packed greedily: a
+    piece ends at the last gap of the most natural level that the space left for it has. A gap
+    between words or within one is the last resort. Every later piece begins ``overlap`` units
+    before the end of the piece before it.
     """
     n, start, done, out = len(spans), 0, 0, []
     overlap = max(0, min(overlap, limit - 1))
+    gaps: list[list[int]] = [[] for _ in range(WORD + 1)]  # by level
+    for i in range(1, n):
+        if (level := boundary(text, spans, i)) <= WORD:
+            gaps[level].append(i)
     while True:
         end = min(start + limit, n)
         if max_chars is not None:
@@ -63,16 +68,7 @@ def cuts(text: str, spans: list[tuple[int, int]], limit: int, overlap: int, max_
             out.append((start, n))
             return out
         first = min(max(done + 1, start + overlap + 1), end)
-        best, at = WORD + 1, end
-        for low, high in ((max(first, start + (end - start) // 2), end), (first, max(first, start + (end - start) // 2) - 1)):
-            for i in range(high, low - 1, -1):
-                level = boundary(text, spans, i)
-                if level < best:
-                    best, at = level, i
-                    if level == SECTION:
-                        break
-            if best < WORD:
-                break
+        at = next((g[k - 1] for g in gaps if (k := bisect_right(g, end)) and g[k - 1] >= first), end)
         out.append((start, at))
         start, done = max(at - overlap, start + 1), at
         while max_chars is not None and start < at and spans[at][1] - spans[start][0] > max_chars:

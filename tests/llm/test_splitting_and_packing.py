@@ -32,6 +32,37 @@ def test_pieces_cover_the_text(parts, limit, overlap):
     assert all(b - a <= limit for a, b in ranges)
 
 
+def test_a_section_that_fits_stays_whole():
+    text = "w " * 44 + "w\n\n# " + "v. " * 83 + "v."
+    assert splitting.cuts(text, splitting.units(text), 100, 0) == [(0, 45), (45, 130)]
+
+
+def _recursive(text, spans, limit):
+    """Where pieces end: parts of one level packed as long as they fit, a first one that doesn't fit split by the next level."""
+
+    def end_of(start, stop, level):
+        if stop - start <= limit:
+            return stop
+        if level > splitting.WORD:
+            return start + limit
+        ends = [i for i in range(start + 1, stop) if splitting.boundary(text, spans, i) == level] + [stop]
+        fit = [i for i in ends if i - start <= limit]
+        return fit[-1] if fit else end_of(start, ends[0], level + 1)
+
+    out = [0]
+    while out[-1] < len(spans):
+        out.append(end_of(out[-1], len(spans), splitting.SECTION))
+    return list(zip(out, out[1:]))
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(["a", "bb.", "c", "\n", "\n\n", "\n# h", "d!", "é"]), min_size=1, max_size=80), st.integers(1, 9))
+def test_cuts_are_those_of_the_recursion(parts, limit):
+    text = " ".join(parts)
+    spans = splitting.units(text)
+    assert not spans or splitting.cuts(text, spans, limit, 0) == _recursive(text, spans, limit)
+
+
 def test_cuts_at_pauses():
     text = "one two three. four five six seven\n\neight nine ten eleven"
     spans = splitting.units(text)
