@@ -62,6 +62,13 @@ def test_forms_and_defined_cases(spark):
     assert leaks.leaks(docs_frame, none).count() == 0 and leaks.leaks(spark.createDataFrame([], DOCS), spark.createDataFrame(items, ITEMS)).count() == 0
 
 
+def test_short_texts_that_grow_in_nfkc(spark):
+    docs = [(1, "½ ½ ½ ½ ½"), (2, "\ufdfa \ufdfa \ufdfa"), (3, "½ ½ ½ ½"), (4, "1 2 1 2 1 2 1 2 1"), (5, "1 2 1 2 1 2 1 2 1 2"), (6, None), (7, "é")]
+    items = [(1, "1 2 1 2 1 2 1 2 1 2"), (2, " ".join(_words("\ufdfa") * 3))]
+    got = {(r["doc_id"], r["item_id"]) for r in leaks.leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)).collect()}
+    assert got == {(1, 1), (2, 2), (5, 1)} == _truth(docs, items, 10)
+
+
 def test_share_is_of_one_window():
     index = leaks.Needles({1: [f"a{i}" for i in range(30)]}, 5, leaks.Counter())
     near = index.search([f"a{i}" for i in range(10)] + ["x"] * 3 + [f"a{i}" for i in range(20, 27)])
