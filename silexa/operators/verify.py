@@ -20,12 +20,21 @@ def file_stats(chunks: DataFrame) -> DataFrame:
     return chunks.groupBy("file_path").agg(F.count("*").alias("chunks"), F.sum(F.coalesce(F.length("text"), F.lit(0))).alias("chars"), F.sum(words).alias("words"))
 
 
-def capture_rates(stats: DataFrame, sources: DataFrame) -> DataFrame:
+def capture_rates(stats: DataFrame, sources: DataFrame, ending: str | None = None) -> DataFrame:
     """Words of a file's chunks in percent of the words of its source; null below LEAST_SOURCE_WORDS.
 
-    ``sources``: file_path, source_words. Files without a source come out with ``missing``.
+    ``sources``: file_path, source_words. Files without a source come out with ``missing``. With
+    ``ending`` (such as .tex), a path without a source of its own takes that of the path with the
+    ending or, if it has the ending, of the path without it.
     """
     both = stats.join(sources, "file_path", "left")
+    if ending:
+        path = F.col("file_path")
+        bare = F.when(path.endswith(ending), F.substring(path, F.lit(1), F.length(path) - len(ending)))
+        for n, other in enumerate((F.concat(path, F.lit(ending)), bare)):
+            told = sources.select(F.col("file_path").alias(f"_path{n}"), F.col("source_words").alias(f"_words{n}"))
+            both = both.join(told, other == F.col(f"_path{n}"), "left")
+        both = both.withColumn("source_words", F.coalesce("source_words", "_words0", "_words1"))
     rate = F.when(F.col("source_words") >= LEAST_SOURCE_WORDS, 100 * F.col("words") / F.col("source_words"))
     return both.select("file_path", "chunks", "words", "source_words", F.round(rate, 4).alias("capture"), F.col("source_words").isNull().alias("missing"))
 
@@ -110,11 +119,12 @@ def worst_chapters(hits: DataFrame, n: int = 20) -> DataFrame:
     return hits.where("percent < 100").orderBy("percent", "chip", "chapter").limit(n)
 
 
-def missing_names(checked: DataFrame, per_chip: int = 20) -> DataFrame:
-    """The report of the first missing names of each chip."""
+def missing_names(checked: DataFrame, per_chip: int = 20, most: int | None = None) -> DataFrame:
+    """The report of the first missing names of each chip; of these the first ``most`` by chip and name, if given."""
     order = Window.partitionBy("chip").orderBy("name")
     gone = checked.groupBy("chip", "name").agg(F.max("present").alias("present")).where(~F.col("present"))
-    return gone.withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_chip).select("chip", "name", "n")
+    first = gone.withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_chip).select("chip", "name", "n")
+    return first if most is None else first.orderBy("chip", "n").limit(most)
 
 
 def gate(checked: DataFrame, most_missing: float = 2.0) -> DataFrame:
@@ -187,5 +197,17 @@ def self_search(chunks: DataFrame, sample: DataFrame) -> DataFrame:
     return both.where("d IS NOT NULL AND NOT isnan(d)").groupBy("query_id").agg(F.min(F.struct("d", "chunk_id")).alias("m")).select("query_id", F.col("m.chunk_id").alias("nearest_id"), F.round("m.d", 4).alias("distance"))
 
 
+def sample_rows(chunks: DataFrame, key: str = "chunk_id", n: int = 5, seed: int = 0) -> DataFrame:
+    """Up to ``n`` rows to look at, the same ones for the same rows and seed."""
+    return chunks.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+
+
+def symbols_gained(refreshed: DataFrame) -> DataFrame:
+    """One row: how many rows of a backfill have symbols, and how many distinct names these are."""
+    have = refreshed.agg(F.count_if(F.size(listed(F.col("symbol_refs"))) > 0).alias("rows"))
+    names = refreshed.select(F.explode("symbol_refs").alias("s")).agg(F.count_distinct("s").alias("names"))
+    return have.crossJoin(names)  # one row each
+
+
 def word_totals(docs: DataFrame) -> DataFrame:
     return docs.agg(F.sum(word_count(F.col("text"))).alias("words"))

@@ -97,6 +97,21 @@ def test_audits_pass_good_and_fail_broken_corpora(spark):
     assert by["f1"]["capture"] == 90.0 and by["f3"]["capture"] is None and by["f4"]["missing"] and {r["file_path"] for r in verify.thin_files(rates).collect()} == {"f2"}
 
 
+def test_samples_caps_and_endings_of_audits(spark):
+    ids = spark.range(100).withColumnRenamed("id", "chunk_id")
+    picked = lambda rows, **how: [r["chunk_id"] for r in verify.sample_rows(rows, **how).collect()]
+    assert len(set(picked(ids))) == 5 and picked(ids) == picked(ids.repartition(7)) != picked(ids, seed=1) and sorted(picked(ids.limit(3))) == [0, 1, 2]
+    checked = spark.createDataFrame([(c, "01", f"N{i}", i == 0) for c in "BA" for i in range(4)], "chip string, chapter string, name string, present boolean")
+    assert [(r["chip"], r["name"]) for r in verify.missing_names(checked, 2, most=3).collect()] == [("A", "N1"), ("A", "N2"), ("B", "N1")] and verify.missing_names(checked, 2).count() == 4
+    gained = verify.symbols_gained(spark.createDataFrame([(["A", "B"],), (["B", None],), ([],), (None,)], "symbol_refs array<string>")).first()
+    assert tuple(gained) == (2, 2) and tuple(verify.symbols_gained(spark.createDataFrame([], "symbol_refs array<string>")).first()) == (0, 0)
+    stats = verify.file_stats(spark.createDataFrame([(p, "w " * 50, "") for p in ("a", "b.tex", "c", "d", None)], "file_path string, text string, section_path string"))
+    sources = spark.createDataFrame([("a.tex", 100), ("b", 100), ("c", 50), ("c.tex", 100)], "file_path string, source_words int")
+    by = {r["file_path"]: (r["capture"], r["missing"]) for r in verify.capture_rates(stats, sources, ".tex").collect()}
+    assert by == {"a": (50.0, False), "b.tex": (50.0, False), "c": (100.0, False), "d": (None, True), None: (None, True)}
+    assert {r["file_path"] for r in verify.capture_rates(stats, sources).where("missing").collect()} == {"a", "b.tex", "d", None}
+
+
 def test_store(spark, tmp_path):
     chunks, path = _chunks(spark), str(tmp_path / "store")
     store.append(chunks, path)
