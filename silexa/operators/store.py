@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from silexa.functions.arrays import in_order_union
 from silexa.functions.symbols import documented_registers
 
 _STRINGS = T.ArrayType(T.StringType())
@@ -41,19 +42,60 @@ def write(chunks: DataFrame, path: str) -> None:
     checked(chunks).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("doc_type").parquet(path)
 
 
+def _text_key(*columns: Column) -> Column:
+    """16 bytes for the values of the columns, nulls told from ''."""
+    told = [F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("-")) for c in columns]
+    return F.unhex(F.md5(F.concat_ws("\0", *told).cast("binary")))
+
+
+def united(chunks: DataFrame, key: tuple[str, ...] = ("file_path", "text")) -> DataFrame:
+    """One row per doc_type and key: rows that deliver a chunk again add their chips, revisions and refs.
+
+    List columns become the union of all rows in order of chunk_id (and, among rows without one,
+    of their content); the other columns are those of the first row in that order.
+    """
+    lists = [f.name for f in chunks.schema.fields if isinstance(f.dataType, T.ArrayType) and f.dataType.elementType == T.StringType() and f.name not in key]
+    keyed = chunks.withColumn("_k", _text_key(F.col("doc_type"), *map(F.col, key)))
+    keyed = keyed.withColumn("_at", F.struct(F.col("chunk_id").isNull().alias("n"), "chunk_id", F.xxhash64(*chunks.columns).alias("h")))
+    repeated = keyed.groupBy("_k").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    both = keyed.join(repeated, "_k")
+    once = both.where("_n = 1").select(*chunks.columns)
+    several = both.where("_n > 1")
+    merged = several.where(F.col("_at") == F.col("_first")).dropDuplicates(["_k"]).drop(*lists)
+    sets = in_order_union(several, ["_k"], lists, "_at")
+    return once.unionByName(merged.join(sets, "_k", "left").select(*chunks.columns))
+
+
 def append(chunks: DataFrame, path: str, key: tuple[str, ...] = ("file_path", "text")) -> None:
-    """Adds rows whose key the table doesn't have; nulls in keys are equal."""
+    """Adds rows whose doc_type and key the table doesn't have; nulls in keys are equal.
+
+    Rows of one key among the new ones are united (see ``united``), so what is stored doesn't depend
+    on their order. Keys are compared as 16 bytes; of the table only they are shuffled. Where the
+    table has the key, the row stays as it is.
+    """
     spark = chunks.sparkSession
+    fresh = united(chunks, key)
     try:
-        have = spark.read.schema(chunks.schema).parquet(path).select(*[F.col(k).alias(f"_{k}") for k in key], F.col("doc_type").alias("_t"))
-        same = F.col("doc_type") == F.col("_t")
-        for k in key:
-            same &= F.col(k).eqNullSafe(F.col(f"_{k}"))
-        chunks = chunks.join(have, same, "left_anti")
+        have = spark.read.schema(chunks.schema).parquet(path).select(_text_key(F.col("doc_type"), *map(F.col, key)).alias("_k")).distinct()
+        fresh = fresh.withColumn("_k", _text_key(F.col("doc_type"), *map(F.col, key))).join(have, "_k", "left_anti").drop("_k")
     except Exception as error:  # noqa: BLE001
         if "PATH_NOT_FOUND" not in str(error):
             raise
-    checked(chunks.dropDuplicates(["doc_type", *key])).write.mode("append").partitionBy("doc_type").parquet(path)
+    checked(fresh).write.mode("append").partitionBy("doc_type").parquet(path)
+
+
+def delete(spark: SparkSession, path: str, doc_type: str) -> int:
+    """Deletes a collection from the table at ``path``; returns the number of its rows. One that isn't there has none."""
+    if doc_type not in DOC_TYPES:
+        raise ValueError(f"doc_type is one of {', '.join(DOC_TYPES)}")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(f"{path.rstrip('/')}/doc_type={doc_type}")
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(place):
+        return 0
+    n = spark.read.schema(CHUNK).parquet(path).where(F.col("doc_type") == doc_type).count()
+    files.delete(place, True)
+    return n
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
