@@ -38,12 +38,14 @@ def get_spark(app: str = "silexa", master: str | None = None, **conf: str) -> Sp
 def shared_dir(spark: SparkSession) -> str:
     """The folder that every executor can reach, from ``spark.checkpoint.dir``.
 
-    Only where the setting is missing (tests, a single machine) a temporary folder is made;
-    it is deleted when Python ends.
+    Only where the setting is missing on a single machine (tests) a temporary folder is made, which
+    is deleted when Python ends; on a cluster, whose executors couldn't reach it, that is an error.
     """
     configured = spark.conf.get(CHECKPOINT_KEY, None)
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"{CHECKPOINT_KEY} has to name a folder that all executors can reach")
     made = tempfile.mkdtemp(prefix="silexa-")
     atexit.register(shutil.rmtree, made, ignore_errors=True)
     spark.conf.set(CHECKPOINT_KEY, f"file://{made}")
