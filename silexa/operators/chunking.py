@@ -2,54 +2,99 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from silexa.functions.arrays import listed
-from silexa.functions.text import content_words, headings, lines, word_count, words
+from silexa.functions.batches import by_text
+from silexa.functions.text import LINE_ENDS, content_words, headings, lines, word_count, words
 from silexa.operators.ordering import position_within, running_total
+from silexa.session import cut
 
 MOST_WORDS, LEAST_WORDS = 400, 50
+LINE_END = re.compile(LINE_ENDS)
+_LAST_END = re.compile(rf"(?:{LINE_ENDS})\Z")
+
+
+def _step(n: int, state: int, limit: int) -> tuple[int, int]:
+    """(new state, groups opened) of a block of size ``n``; the state is the sum of the open group, or limit + 1 if none is open."""
+    if n > limit:
+        return limit + 1, 1
+    return (state + n, 0) if state + n <= limit else (n, 1)
 
 
 def group_starts(sizes: Column, limit: int) -> Column:
     """For a list of sizes the number of the group of each: groups are filled in order up to ``limit``, and a size above it is a group of its own.
 
-    One fold over the list; whether a group is open is kept apart from its sum, for items of size
-    0 open groups too.
+    One pass over each list, which has to fit into a task; ``pack_blocks`` is for lists of any length.
     """
-    start = F.struct(F.lit(-1).alias("group"), F.lit(0).alias("sum"), F.lit(False).alias("open"), F.array().cast("array<int>").alias("out"))
 
-    def step(acc: Column, n: Column) -> Column:
-        big = n > limit
-        opens = big | ~acc["open"] | (acc["sum"] + n > limit)
-        group = F.when(opens, acc["group"] + 1).otherwise(acc["group"])
-        total = F.when(opens, n).otherwise(acc["sum"] + n)
-        return F.struct(group.cast("int").alias("group"), total.cast("int").alias("sum"), (~big).alias("open"), F.array_append(acc["out"], group.cast("int")).alias("out"))
-
-    return F.aggregate(sizes, start, step)["out"]
+    @F.pandas_udf("array<int>")
+    def folded(lists: pd.Series) -> pd.Series:
+        out = []
+        for items in lists:
+            state, group, row = limit + 1, -1, []
+            for n in () if items is None else items:
+                state, new = _step(int(n), state, limit)
+                group += new
+                row.append(group)
+            out.append(row)
+        return pd.Series(out, dtype=object)
+
+    return folded(sizes)
+
+
+_PIECES = "piece int, n_lines int, n_words int, text string"
+
+
+def _line_pieces(text: str, limit: int) -> Iterator[tuple[int, int, str]]:
+    held: list[str] = []
+    total = 0
+    for line in LINE_END.split(text):
+        n = len(line.split())
+        if held and (n > limit or total + n > limit):
+            yield len(held), total, "\n".join(held)
+            held, total = [], 0
+        if n > limit:
+            found = line.split()
+            for k in range(0, n, limit):
+                yield 1, min(limit, n - k), " ".join(found[k : k + limit])
+        else:
+            held.append(line)
+            total += n
+    if held:
+        yield len(held), total, "\n".join(held)
 
 
 def pack_lines(docs: DataFrame, key: str, text: str, limit: int = MOST_WORDS) -> DataFrame:
     """Lines of each text put together up to ``limit`` words: (key, piece, n_lines, n_words, text).
 
     A line of more words is cut into windows of ``limit`` words, which stand alone, joined by
-    single blanks. Blank lines take part with no words; null and '' give no piece.
+    single blanks. Blank lines take part with no words; null and '' give no piece. One pass over
+    each text, without a shuffle.
     """
-    rows = docs.select(F.col(key).alias("_k"), lines(F.col(text)).alias("_l")).where(F.size("_l") > 0)
-    rows = rows.withColumn("_n", F.transform("_l", lambda x: word_count(x)))
-    rows = rows.withColumn("_g", group_starts(F.col("_n"), limit))
-    groups = F.transform(F.sequence(F.lit(0), F.element_at("_g", -1)), lambda g: F.struct(F.array_position(F.col("_g"), g).alias("at"), F.size(F.filter("_g", lambda x: x == g)).alias("n")))
-    one = rows.select("_k", "_l", "_n", F.posexplode(groups).alias("_piece", "_s"))
-    part = F.slice("_l", F.col("_s.at"), F.col("_s.n"))
-    total = F.aggregate(F.slice("_n", F.col("_s.at"), F.col("_s.n")), F.lit(0), lambda a, b: a + b)
-    cutting = one.select("_k", "_piece", F.col("_s.n").alias("n_lines"), total.alias("_total"), F.array_join(part, "\n").alias("_t"))
-    wide = F.transform(windows(words(F.col("_t")), limit), lambda w: F.struct(F.array_join(w, " ").alias("t"), F.size(w).alias("n")))
-    piece = F.when(F.col("_total") > limit, wide).otherwise(F.array(F.struct(F.col("_t").alias("t"), F.col("_total").alias("n"))))
-    out = cutting.select("_k", "_piece", "n_lines", F.posexplode(piece).alias("_part", "_p"))
-    order = Window.partitionBy("_k").orderBy("_piece", "_part")
-    return out.select(F.col("_k").alias(key), (F.row_number().over(order) - 1).alias("piece"), "n_lines", F.col("_p.n").alias("n_words"), F.col("_p.t").alias("text"))
+    rows = docs.select(F.col(key), F.col(text)).where(F.length(F.col(text)) > 0)
+    kind = rows.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in by_text(whole, 1)):
+            at, out = [], []
+            for i, t in enumerate(batch.column(1).to_pylist()):
+                for k, piece in enumerate(_line_pieces(_LAST_END.sub("", t), limit)):
+                    at.append(i)
+                    out.append((k, *piece))
+            columns = list(zip(*out)) or [()] * 4
+            types = (pa.int32(), pa.int32(), pa.int32(), pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), *(pa.array(list(c), x) for c, x in zip(columns, types))], names=[key, "piece", "n_lines", "n_words", "text"])
+
+    return rows.mapInArrow(run, f"`{key}` {kind}, {_PIECES}")
 
 
 def windows(items: Column, size: int) -> Column:
@@ -65,16 +110,88 @@ def word_windows(docs: DataFrame, key: str, text: str, size: int = 350) -> DataF
     return docs.select(F.col(key), F.posexplode(some).alias("window", "text"))
 
 
+def _table(sizes: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """For every state at the beginning the state at the end and the groups opened."""
+    state, opened = np.arange(limit + 2), np.zeros(limit + 2, np.int64)
+    for i, n in enumerate(sizes.tolist()):
+        if n > limit:
+            state[:] = limit + 1
+            opened += 1
+        else:
+            fits = state + n <= limit
+            state, opened = np.where(fits, state + n, n), opened + ~fits
+        if (state == state[0]).all():  # from here on all go alike
+            one, more = int(state[0]), 0
+            for m in sizes[i + 1 :].tolist():
+                one, new = _step(m, one, limit)
+                more += new
+            return np.full(limit + 2, one), opened + more
+    return state, opened
+
+
+def _first_rows(group: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray]:
+    """The rows in order, their sizes, and where documents begin."""
+    group = group.sort_by([("_none", "ascending"), ("_doc", "ascending"), ("_at", "ascending")])
+    names = list(zip(group["_none"].to_pylist(), group["_doc"].to_pylist()))
+    opens = np.array([i for i in range(len(names)) if i == 0 or names[i] != names[i - 1]] + [len(names)])
+    return group, group["_size"].to_numpy(), opens
+
+
 def pack_blocks(blocks: DataFrame, key: str, order: str, size: str, limit: int = MOST_WORDS) -> DataFrame:
-    """Adds ``piece``: the group of each block of a document when blocks are put together in order up to ``limit``.
+    """(key, order, n_words, piece): the group of each block of a document when blocks are put together in order up to ``limit``.
+
+    Blocks above the limit stand alone; a null size counts 0; blocks of a null key are one
+    document. ``order`` has to be unique within a document.
 
-    Blocks above the limit stand alone. The fold needs the sizes of one document in one place;
-    they travel as two numbers each, without texts.
+    A document may hold any share of the rows: they are range-partitioned as numbers, without
+    texts. All that a partition does to the rows behind it is a table from the sum of the group
+    that is open before it to the one open after it, and the groups opened between; the tables, of
+    ``limit`` entries each, are put together in the order of partitions, and a second pass numbers
+    the rows.
     """
-    rows = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.coalesce(size, F.lit(0)).cast("int").alias("n"))))
-    folded = blocks.groupBy(key).agg(rows.alias("_b")).withColumn("_g", group_starts(F.transform("_b", lambda b: b["n"]), limit))
-    places = folded.select(F.col(key), F.explode(F.arrays_zip("_b", "_g")).alias("z")).select(key, F.col("z._b.o").alias(order), F.col("z._b.n").alias("n_words"), F.col("z._g").alias("piece"))
-    return places
+    rows = blocks.select(F.col(key), F.col(order), F.greatest(F.coalesce(F.col(size), F.lit(0)), F.lit(0)).cast("long").alias("_size"))
+    rows = rows.withColumns({"_none": F.col(key).isNull().cast("int"), "_doc": F.coalesce(F.col(key).cast("string"), F.lit("")), "_at": F.col(order)})
+    parts = cut(rows.repartitionByRange("_none", "_doc", "_at").withColumn("_part", F.spark_partition_id()), "blocks")
+
+    def told(group: pa.Table) -> pa.Table:
+        part = group["_part"][0].as_py()
+        group, sizes, opens = _first_rows(group)
+        head_state, head_opened = _table(sizes[: opens[1]], limit)
+        tail_state, tail_opened = (x[-1] for x in _table(sizes[opens[-2] :], limit))
+        ends = [(group["_none"][i].as_py(), group["_doc"][i].as_py()) for i in (0, group.num_rows - 1)]
+        return pa.table({
+            "part": pa.array([part], pa.int32()), "none_first": pa.array([ends[0][0]], pa.int32()), "first": pa.array([ends[0][1]]), "none_last": pa.array([ends[1][0]], pa.int32()), "last": pa.array([ends[1][1]]),
+            "state": pa.array([head_state.tolist()], pa.list_(pa.int64())), "opened": pa.array([head_opened.tolist()], pa.list_(pa.int64())), "tail_state": pa.array([int(tail_state)]), "tail_opened": pa.array([int(tail_opened)]),
+        })
+
+    kind = "part int, none_first int, first string, none_last int, last string, state array<bigint>, opened array<bigint>, tail_state bigint, tail_opened bigint"
+    known = parts.groupBy("_part").applyInArrow(told, kind).orderBy("part").collect()  # one row of 2 x limit numbers per partition
+    before: dict[int, tuple[int, int]] = {}
+    state, opened, last = limit + 1, 0, None
+    for r in known:
+        if (r["none_first"], r["first"]) != last:
+            state, opened = limit + 1, 0
+        before[r["part"]] = (state, opened)
+        if (r["none_first"], r["first"]) == (r["none_last"], r["last"]):
+            state, opened = r["state"][state], opened + r["opened"][state]
+        else:
+            state, opened = r["tail_state"], r["tail_opened"]
+        last = (r["none_last"], r["last"])
+
+    def numbered(group: pa.Table) -> pa.Table:
+        state, opened = before[group["_part"][0].as_py()]
+        group, sizes, opens = _first_rows(group)
+        fresh, piece = set(opens[1:].tolist()), []
+        for i, n in enumerate(sizes.tolist()):
+            if i in fresh:
+                state, opened = limit + 1, 0
+            state, new = _step(n, state, limit)
+            opened += new
+            piece.append(opened - 1)
+        return group.select([key, order]).append_column("n_words", group["_size"].cast(pa.int32())).append_column("piece", pa.array(piece, pa.int32()))
+
+    types = {c: rows.schema[c].dataType.simpleString() for c in (key, order)}
+    return parts.groupBy("_part").applyInArrow(numbered, f"`{key}` {types[key]}, `{order}` {types[order]}, n_words int, piece int")
 
 
 def merge_small(chunks: DataFrame, doc: str, order: str, least: int = LEAST_WORDS) -> DataFrame:
@@ -151,19 +268,23 @@ def section_nodes(chunks: DataFrame, doc: str) -> DataFrame:
 def line_runs(docs: DataFrame, key: str, text: str) -> DataFrame:
     """Blocks of consecutive non-blank lines: (key, run, first_line, n_lines).
 
-    Lines are numbered within their row, so no window or shuffle is needed.
+    Lines are numbered within their row, so there is no shuffle; one pass over each text.
     """
-    blank = lambda x: ~x.rlike(r"(?U)[^\s\x1c-\x1f]")
-    marked = F.transform(lines(F.col(text)), lambda x, i: F.struct(i.alias("i"), blank(x).alias("b")))
-    start = F.struct(F.lit(0).alias("run"), F.lit(False).alias("open"), F.array().cast("array<struct<run:int,i:int>>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        run = F.when(x["b"] | acc["open"], acc["run"]).otherwise(acc["run"] + 1).cast("int")
-        out = F.when(x["b"], acc["out"]).otherwise(F.array_append(acc["out"], F.struct(run.alias("run"), x["i"].cast("int").alias("i"))))
-        return F.struct(run.alias("run"), (~x["b"]).alias("open"), out.alias("out"))
-
-    runs = docs.select(F.col(key), F.explode(F.aggregate(marked, start, step)["out"]).alias("x"))
-    return runs.groupBy(key, F.col("x.run").alias("run")).agg(F.min("x.i").alias("first_line"), F.count("*").alias("n_lines"))
+    rows = docs.select(F.col(key), F.col(text)).where(F.length(F.col(text)) > 0)
+    kind = rows.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in by_text(whole, 1)):
+            at, out = [], []
+            for i, t in enumerate(batch.column(1).to_pylist()):
+                blank = np.array([True] + [not x.strip() for x in LINE_END.split(_LAST_END.sub("", t))] + [True])
+                turns = np.flatnonzero(blank[1:] != blank[:-1])
+                at += [i] * (len(turns) // 2)
+                out += [(k, first, last - first) for k, (first, last) in enumerate(turns.reshape(-1, 2).tolist(), 1)]
+            columns = list(zip(*out)) or [()] * 3
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), *(pa.array(list(c), x) for c, x in zip(columns, (pa.int32(), pa.int32(), pa.int64())))], names=[key, "run", "first_line", "n_lines"])
+
+    return rows.mapInArrow(run, f"`{key}` {kind}, run int, first_line int, n_lines bigint")
 
 
 def renumber(chunks: DataFrame, doc: str, *order: str) -> DataFrame:

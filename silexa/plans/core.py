@@ -373,16 +373,34 @@ def line_runs(spark: SparkSession, sf: str) -> DataFrame:
     return chunking.line_runs(table(spark, sf, "raw_chunks"), "raw_id", "text")
 
 
-@query()
+@query(
+    rf"""WITH RECURSIVE t AS (SELECT raw_id, {_SPLIT} AS l FROM raw_chunks WHERE text <> ''),
+    u AS (SELECT raw_id, CASE WHEN l[-1] = '' THEN l[:-2] ELSE l END AS l FROM t), x AS (SELECT raw_id, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM u),
+    b AS (SELECT *, {_words("line")} AS n FROM x),
+    p AS (SELECT raw_id, i, line, n, 1 AS g, CASE WHEN n > 400 THEN 401 ELSE n END AS open FROM b WHERE i = 1
+        UNION ALL SELECT b.raw_id, b.i, b.line, b.n, CASE WHEN p.open + b.n <= 400 THEN p.g ELSE p.g + 1 END, CASE WHEN b.n > 400 THEN 401 WHEN p.open + b.n <= 400 THEN p.open + b.n ELSE b.n END
+        FROM p JOIN b ON b.raw_id = p.raw_id AND b.i = p.i + 1),
+    f AS (SELECT raw_id, g, count(*) AS n_lines, sum(n) AS n, string_agg(line, chr(10) ORDER BY i) AS text FROM p GROUP BY ALL),
+    w AS (SELECT raw_id, g, n_lines, n, text, list_filter(regexp_split_to_array(text, '{_WS}+'), lambda v: v <> '') AS v FROM f),
+    o AS (SELECT raw_id, g, 0 AS k, n_lines, n, text FROM w WHERE n <= 400
+        UNION ALL SELECT raw_id, g, k, n_lines, len(v[400 * k + 1 : 400 * k + 400]), array_to_string(v[400 * k + 1 : 400 * k + 400], ' ') FROM (SELECT *, unnest(range((n + 399)::BIGINT // 400)) AS k FROM w WHERE n > 400))
+    SELECT raw_id, (row_number() OVER (PARTITION BY raw_id ORDER BY g, k) - 1)::INT AS piece, n_lines::INT AS n_lines, n::INT AS n_words, md5(text) AS text_md5 FROM o"""
+)
 def line_pack(spark: SparkSession, sf: str) -> DataFrame:
     out = chunking.pack_lines(table(spark, sf, "raw_chunks"), "raw_id", "text")
     return out.select("raw_id", "piece", "n_lines", "n_words", F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE b AS (SELECT file_path, raw_id, {_words("text")} AS n, row_number() OVER (PARTITION BY file_path ORDER BY raw_id) AS i FROM raw_chunks),
+    p AS (SELECT file_path, raw_id, n, i, 0 AS piece, CASE WHEN n > 400 THEN 401 ELSE n END AS open FROM b WHERE i = 1
+        UNION ALL SELECT b.file_path, b.raw_id, b.n, b.i, CASE WHEN p.open + b.n <= 400 THEN p.piece ELSE p.piece + 1 END, CASE WHEN b.n > 400 THEN 401 WHEN p.open + b.n <= 400 THEN p.open + b.n ELSE b.n END
+        FROM p JOIN b ON b.file_path IS NOT DISTINCT FROM p.file_path AND b.i = p.i + 1)
+    SELECT file_path, raw_id, n::INT AS n_words, piece FROM p"""
+)
 def greedy_pack(spark: SparkSession, sf: str) -> DataFrame:
-    """The chunks of each page packed as blocks."""
-    rows = table(spark, sf, "raw_chunks").where("file_path IS NOT NULL").withColumn("n", text.word_count(F.col("text")))
+    """The chunks of each page packed as blocks; those without a page are one document."""
+    rows = table(spark, sf, "raw_chunks").withColumn("n", text.word_count(F.col("text")))
     return chunking.pack_blocks(rows, "file_path", "raw_id", "n")
 
 

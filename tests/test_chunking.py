@@ -119,3 +119,25 @@ def test_trees_to_chunks():
     head = [("A > very long trail of words", "A > very long trail of words\n\ntiny", Refs()), ("B", f"B\n\n{_words(60)}", Refs())]
     assert [r[0] for r in merged(head, 50)] == ["B"] and merged(tail[1:], 50) == tail[1:]
     assert chunks_of(Section("", [Block("  ")]), "p") == []
+
+
+def test_pack_blocks_over_many_partitions(spark):
+    rng = random.Random(9)
+    docs = ["a"] * 700 + ["b"] * 5 + [None] * 90 + ["c"] * 40
+    at: dict = {}
+    rows = []
+    for d in docs:
+        rows.append((d, at.setdefault(d, 0), rng.choice([0, 1, 3, 5, 9, 10, 11, 30])))
+        at[d] += 1
+    rng.shuffle(rows)
+    frame = spark.createDataFrame(rows, "doc string, k int, n int").repartition(7)
+    kept = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # keeps the small partitions apart
+    try:
+        got = {(r["doc"], r["k"]): r["piece"] for r in chunking.pack_blocks(frame, "doc", "k", "n", 10).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", kept)
+    for d in {d for d, *_ in rows}:
+        sizes = [n for _, n in sorted((k, n) for x, k, n in rows if x == d)]
+        assert [got[d, k] for k in range(len(sizes))] == _groups(sizes, 10)
+    assert chunking.pack_blocks(frame.where("false"), "doc", "k", "n", 10).count() == 0
