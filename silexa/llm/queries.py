@@ -28,11 +28,11 @@ def p2_use(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
-    return neighbours.similar_pairs(neighbours.nearest(table(spark, sf, "chunks"), least=0.85))
+    return neighbours.similar_pairs(neighbours.nearest(table(spark, sf, "chunks"), least=0.85, recall=0.98))
 
 
 def p3_neighbours(spark: SparkSession, sf: str) -> DataFrame:
-    return neighbours.nearest(table(spark, sf, "chunks"), queries=F.col("chunk_id") % 100 == 0, tables=2, probes=400, growth=3.0)
+    return neighbours.nearest(table(spark, sf, "chunks"), queries=F.col("chunk_id") % 100 == 0, tables=2, recall=0.96)
 
 
 def _near(spark: SparkSession, sf: str) -> near_dups.NearDuplicates:

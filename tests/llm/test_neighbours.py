@@ -29,10 +29,10 @@ def _brute(rows, k, least=None):
     return out
 
 
-@pytest.mark.parametrize(("least", "probes", "tables"), [(0.85, None, 1), (None, 200, 2)])
-def test_recall(spark, least, probes, tables):
+@pytest.mark.parametrize(("least", "tables"), [(0.85, 1), (None, 2)])
+def test_recall(spark, least, tables):
     rows = _rows()
-    got = neighbours.nearest(spark.createDataFrame(rows, KIND), 5, least=least, probes=probes, tables=tables, dimension=16).collect()
+    got = neighbours.nearest(spark.createDataFrame(rows, KIND), 5, least=least, recall=0.97, tables=tables, dimension=16).collect()
     truth = {(i, o) for i, list_ in _brute(rows, 5, least).items() for o, _ in list_}
     have = {(r["id"], r["other"]) for r in got}
     assert len(truth & have) >= 0.95 * len(truth)
@@ -41,7 +41,7 @@ def test_recall(spark, least, probes, tables):
     assert all(r["rank"] <= 5 for r in got)
 
 
-def test_probes_of_the_query_grow_with_the_hashes(spark, monkeypatch, tmp_path):
+def test_reach_of_the_query_grows_with_the_hashes(spark, monkeypatch, tmp_path):
     """As many hashes as a million rows have: distant neighbours are found as they are in a small table."""
     rows = [(i, [float(v) for v in x]) for i, x in enumerate(np.random.default_rng(5).standard_normal((3000, 64)), 1)]
     spark.createDataFrame(rows, KIND).write.parquet(str(tmp_path / "chunks.parquet"))
@@ -96,3 +96,22 @@ def test_unusable_vectors_and_ties(spark):
     some = neighbours.nearest(frame, 2, queries=F.col("chunk_id") == 4, dimension=4)
     assert [(r["id"], r["other"]) for r in some.orderBy("rank").collect()] == [(4, 1), (4, 2)]
     assert neighbours.nearest(spark.createDataFrame([], KIND), 2).count() == 0
+
+
+@pytest.mark.parametrize("hashes", [8, 11, 14])
+def test_recall_does_not_fall_with_the_hashes(spark, monkeypatch, hashes):
+    """Regions and cells as of millions of rows; neighbours at the least cosine and the nearest at random."""
+    rng = np.random.default_rng(hashes)
+    x = rng.standard_normal((500, 64))
+    y = rng.standard_normal((500, 64))
+    x, y = x / np.linalg.norm(x, axis=1, keepdims=True), y / np.linalg.norm(y, axis=1, keepdims=True)
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    y = 0.86 * x + np.sqrt(1 - 0.86**2) * y / np.linalg.norm(y, axis=1, keepdims=True)
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(np.concatenate([x, y]), 1)]
+    monkeypatch.setattr(neighbours, "REGION", 1000 / neighbours.SLOTS ** (hashes - 4))
+    frame = spark.createDataFrame(rows, KIND)
+    found = {(r["id"], r["other"]) for r in neighbours.nearest(frame, 5, least=0.85, recall=0.95, hashes=hashes).collect()}
+    assert sum((i, i + 500) in found for i in range(1, 501)) >= 0.93 * 500
+    near = {(r["id"], r["other"]) for r in neighbours.nearest(frame, 5, queries=F.col("chunk_id") % 10 == 0, recall=0.95, hashes=hashes).collect()}
+    truth = {(i, o) for i, list_ in _brute(rows, 5).items() for o, _ in list_ if i % 10 == 0}
+    assert len(truth & near) >= 0.92 * len(truth)
