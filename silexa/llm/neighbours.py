@@ -12,16 +12,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Width of a hash slot for unit vectors, and slots that one hash tells apart on average.
-WIDTH, SLOTS = 2.0, 3.3
-#: Vectors aimed at in a cell and in a region; a region of more than HEAVY is cut further.
-CELL, REGION, HEAVY = 100, 64_000, 128_000
+#: Width of a hash slot for unit vectors, slots that one hash tells apart on average, and 1 over the chance that two vectors share one.
+WIDTH, SLOTS, SHARED = 2.0, 3.3, 2.06
+#: Vectors aimed at in the cell of a vector and in a region; a region of more than HEAVY is cut further.
+CELL, REGION, HEAVY = 300, 128_000, 256_000
 #: Vectors that ask in one part of a region; with more of them it is stored once for each part.
 ASKED = 500_000
 #: Vectors by whose neighbours the reach of the probes is fitted, and made-up pairs for a given cosine.
 SAMPLE, PAIRED = 256, 20_000
 #: Costs of cells computed at a time, and pairs compared exactly at a time.
-COSTS, PAIRS = 4_000_000, 200_000
+COSTS, PAIRS = 8_000_000, 200_000
 SENT = "place int, region bigint, block int, part int, asks boolean, id bigint, vector binary"
 HITS = "id bigint, other bigint, similarity double"
 
@@ -404,7 +404,7 @@ def nearest(chunks: DataFrame, k: int = 5, queries: Column | None = None, least:
     good = chunks.select(F.col("chunk_id").alias("id"), "vector", F.coalesce(asks, F.lit(False)).alias("asks"))
     good = good.where(F.col("id").isNotNull() & usable(F.col("vector"), dimension)).select("id", "vector", "asks")
     n = max(1, good.count())
-    many = hashes or max(2, round(math.log(max(1, n / CELL)) / math.log(SLOTS)))
+    many = hashes or max(2, round(math.log(max(1, n / CELL)) / math.log(SHARED)))
     depth = min(many, max(1, round(math.log(max(1, n / REGION)) / math.log(SLOTS))))
     made = [Hashes(seed + t, dimension, many, depth) for t in range(tables)]
     reach = reach_for_neighbours(good, made, k, recall)[0] if least is None else reach_for_cosine(made, least, recall)

@@ -28,7 +28,7 @@ def p2_use(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
-    return neighbours.similar_pairs(neighbours.nearest(table(spark, sf, "chunks"), least=0.85, recall=0.98))
+    return neighbours.similar_pairs(neighbours.nearest(table(spark, sf, "chunks"), least=0.85, recall=0.95))
 
 
 def p3_neighbours(spark: SparkSession, sf: str) -> DataFrame:
