@@ -27,7 +27,7 @@ BLOCK = 2_000_000
 _KNOWN = 1_000_000
 
 
-class _Codes(dict):
+class WordCodes(dict):
     """64-bit code of a word; the memo is emptied when it grows beyond a bound."""
 
     def __missing__(self, word: str) -> int:
@@ -71,7 +71,7 @@ def shingle_sets(texts: list[str | None], words: int, least: int, codes: dict[st
 
 def _sets(words: int, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = _Codes()
+        codes = WordCodes()
         for batch in (part for whole in batches for part in by_text(whole, 1)):
             ids = batch.column(0)
             hashes, sizes = shingle_sets(batch.column(1).to_pylist(), words, least, codes)
