@@ -9,13 +9,18 @@ from functools import lru_cache
 
 #: Maximal runs of Unicode letters, digits and underscores.
 TERM = re.compile(r"\w+")
+#: Unicode white space; Python's own also counts the separators U+001C to U+001F.
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Maximal runs of characters that are not Unicode white space.
-BLANKED = re.compile(r"\S+")
+BLANKED = re.compile(f"[^{WHITE}]+")
+_SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
 def blank_count(text: str | None) -> int:
-    """Number of white-space separated words; null counts 0."""
-    return len(text.split()) if text else 0
+    """Number of words parted by Unicode white space; null counts 0."""
+    if not text:
+        return 0
+    return len(BLANKED.findall(text)) if _SEPARATORS.search(text) else len(text.split())
 
 
 def terms(text: str | None) -> list[str]:
