@@ -48,8 +48,7 @@ def p4_groups(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
-    found = survivors.survivors(table(spark, sf, "raw_chunks"), table(spark, sf, "builds"), values=False)
-    return found.select("group_id", "chips_from", "index_from", "symbols_from", "path_from")
+    return p5_records(spark, sf).select("group_id", "chips_from", "index_from", "symbols_from", "path_from")
 
 
 def p5_records(spark: SparkSession, sf: str) -> DataFrame:
@@ -86,7 +85,7 @@ def p8_found(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_pieces, p2_fill, p2_use, p3_found, p3_neighbours, p4_found, p4_groups, p5_found, p5_records, p5_truth, p6_ids, p6_counts, p7_found, p7_leaks, p8_found, p8_shares)}
 
-_BLANKS = r"[\s\x0b\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+_BLANKS = r"[\s\x0b\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 
 
 def _split(c: str) -> str:

@@ -9,11 +9,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from silexa.functions.totals import total_array
 from silexa.session import cut
 
-#: White space of Unicode in Java's notation.
-BLANKS = r"(?U)\s+"
-ROUNDS = 12
+#: White space of Unicode in Java's notation (a class of its own is read far faster than ``(?U)\\s``).
+BLANKS = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+#: Rounds of estimation at most, and the change of every quality below which it ends.
+ROUNDS, SETTLED = 30, 1e-4
+#: Sources that may be told apart: their qualities are held by every task.
+MOST_SOURCES = 1_000_000
 #: Pseudo-counts (hit, miss) of a source's sensitivity, of its false claims, and of a value's truth.
 SENSITIVITY, FALSE_CLAIMS, TRUTH = (4.0, 2.0), (1.0, 9.0), (1.0, 1.0)
 
@@ -39,13 +43,13 @@ def listed(values: Column) -> Column:
 
 
 def _keyed(chunks: DataFrame, builds: DataFrame) -> DataFrame:
-    """Rows that have a page and a word, with group key, recency and trust."""
+    """Rows that have a page and a word, with group key, recency and trust; written once, without texts."""
     about = builds.where(F.col("build_id").isNotNull()).groupBy("build_id").agg(F.max("built_at").alias("_built"), F.max("trust").alias("_trust"))
     rows = chunks.select("raw_id", "text", "file_path", "chips", "symbol_refs", "chunk_index", "build_id")
     rows = rows.withColumn("_page", page_key(F.col("file_path"))).withColumn("_words", word_key(F.col("text")))
     rows = rows.where(F.col("_page").isNotNull() & F.col("_words").isNotNull())
     key = F.unhex(F.md5(F.concat_ws("\n", "_page", "_words").cast("binary")))
-    return rows.withColumn("_key", key).drop("text", "_page", "_words").join(about, "build_id", "left")
+    return cut(rows.withColumn("_key", key).drop("text", "_page", "_words").join(about, "build_id", "left"), "keyed")
 
 
 def _best(field: str, *order: Column, given: Column | None = None, value: Column | None = None) -> Column:
@@ -55,52 +59,60 @@ def _best(field: str, *order: Column, given: Column | None = None, value: Column
     return F.max(F.when(given, row) if given is not None else row).alias(field)
 
 
-def survivors(chunks: DataFrame, builds: DataFrame, values: bool = True) -> DataFrame:
+def survivors(chunks: DataFrame, builds: DataFrame) -> DataFrame:
     """One record for each group of two or more rows of one page with the same words in the same order.
 
-    group_id (smallest raw_id), rows, and for each field the raw_id of the row it is taken from
-    (chips_from, index_from, symbols_from, path_from), by the rules of the project: the most
-    distinct non-blank chips, then the most recent row; the most recent row that has a
-    chunk_index; the most distinct non-blank symbol_refs, then the most trusted, then the most
-    recent row; the most trusted, then the most recent row; the smallest raw_id breaks ties. A
-    row is as recent and as trusted as its build; without a build or value it is the oldest or
-    least trusted. With ``values`` the record itself comes too: chips, chunk_index, symbol_refs,
-    file_path as the chosen rows have them.
-
-    Everything is one aggregate that is combined before the shuffle, so a group of any size
+    group_id (smallest raw_id), rows; chips_true and symbols_true, the (value, probability) of every
+    value that the quality of the group's sources, as estimated over all groups, makes true (see
+    ``true_values``), in the order of values; and for each field the row of highest standing:
+    its raw_id (chips_from, index_from, symbols_from, path_from) and its values (chips,
+    chunk_index, symbol_refs, file_path), by the rules of the project: the most distinct
+    non-blank chips, then the most recent row; the most recent row that has a chunk_index; the
+    most distinct non-blank symbol_refs, then the most trusted, then the most recent row; the
+    most trusted, then the most recent row; the smallest raw_id breaks ties. A row is as recent
+    and as trusted as its build; without a build or value it is the oldest or least trusted.
+
+    Rows are reduced by aggregates that are combined before the shuffle, so a group of any size
     reaches a task as one row per input partition; texts are shuffled as 16-byte keys.
 
     Defined results: rows with a null or blank path or without a word form no group; null lists
-    have no entry; a group without any chunk_index has a null index_from; builds given twice
-    count with their greatest values; columns of other names are ignored.
+    have no entry, and a group without entries has empty lists of true values; a group without any
+    chunk_index has a null index_from; builds given twice count with their greatest values;
+    columns of other names are ignored.
     """
     rows = _keyed(chunks, builds)
-    v = (lambda c: F.col(c)) if values else (lambda c: None)
     recent, trusted = F.col("_built"), F.col("_trust")
     out = rows.groupBy("_key").agg(
         F.count("*").alias("rows"),
         F.min("raw_id").alias("group_id"),
-        _best("_c", F.size(listed(F.col("chips"))), recent, value=v("chips")),
-        _best("_i", recent, given=F.col("chunk_index").isNotNull(), value=v("chunk_index")),
-        _best("_s", F.size(listed(F.col("symbol_refs"))), trusted, recent, value=v("symbol_refs")),
-        _best("_p", trusted, recent, value=v("file_path")),
+        _best("_c", F.size(listed(F.col("chips"))), recent, value=F.col("chips")),
+        _best("_i", recent, given=F.col("chunk_index").isNotNull(), value=F.col("chunk_index")),
+        _best("_s", F.size(listed(F.col("symbol_refs"))), trusted, recent, value=F.col("symbol_refs")),
+        _best("_p", trusted, recent, value=F.col("file_path")),
     )
     out = out.where(F.col("rows") > 1)
     named = {"_c": ("chips_from", "chips"), "_i": ("index_from", "chunk_index"), "_s": ("symbols_from", "symbol_refs"), "_p": ("path_from", "file_path")}
-    columns = [(-F.col(f"{k}.r")).alias(a) for k, (a, _) in named.items()]
-    columns += [F.col(f"{k}.v").alias(b) for k, (_, b) in named.items()] if values else []
-    return out.select("group_id", "rows", *columns)
+    columns = [(-F.col(f"{k}.r")).alias(a) for k, (a, _) in named.items()] + [F.col(f"{k}.v").alias(b) for k, (_, b) in named.items()]
+    kept = _judged(_claims(rows)).where("kept").groupBy("group_id").pivot("field", ["chips", "symbol_refs"]).agg(F.array_sort(F.collect_list(F.struct("value", "probability"))))
+    kept = kept.select("group_id", F.col("chips").alias("chips_true"), F.col("symbol_refs").alias("symbols_true"))
+    none = F.array().cast("array<struct<value:string,probability:double>>")
+    both = out.select("group_id", "rows", *columns).join(kept, "group_id", "left")
+    return both.withColumns({c: F.coalesce(c, none) for c in ("chips_true", "symbols_true")})
+
 
+def _claims(keyed: DataFrame) -> DataFrame:
+    """(group_id, field, value, yes, no): the builds that give a value to a group and those that deliver the group without it.
 
-def _claims(chunks: DataFrame, builds: DataFrame) -> DataFrame:
-    """(group_id, field, value, yes, no): the builds that give a value to a group and those that deliver the group without it."""
-    rows = _keyed(chunks, builds).select("_key", "raw_id", F.coalesce("build_id", F.lit(-1)).alias("source"), listed(F.col("chips")).alias("chips"), listed(F.col("symbol_refs")).alias("symbols"))
+    Both lists hold each build once, however many rows the group has.
+    """
+    rows = keyed.select("_key", "raw_id", F.coalesce("build_id", F.lit(-1)).alias("source"), listed(F.col("chips")).alias("chips"), listed(F.col("symbol_refs")).alias("symbols"))
     several = rows.groupBy("_key").agg(F.min("raw_id").alias("group_id"), F.count("*").alias("n"), F.collect_set("source").alias("sources")).where("n > 1")
     bare = lambda s: F.regexp_replace(F.trim(s), r"\(\)$", "")
     fields = F.array(F.struct(F.lit("chips").alias("field"), F.col("chips").alias("values")), F.struct(F.lit("symbol_refs").alias("field"), F.transform("symbols", bare).alias("values")))
     told = rows.select("_key", "source", F.explode(fields).alias("f")).select("_key", "source", "f.field", F.explode("f.values").alias("value"))
     said = told.groupBy("_key", "field", "value").agg(F.collect_set("source").alias("yes"))
-    return said.join(several, "_key").select("group_id", "field", "value", "yes", F.array_except("sources", "yes").alias("no"))
+    joined = said.join(several, "_key").select("group_id", "field", "value", F.array_sort("yes").alias("yes"), F.array_sort(F.array_except("sources", "yes")).alias("no"))
+    return cut(joined, "claims")
 
 
 def _ragged(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -134,21 +146,21 @@ class _Quality:
 
 
 def _expect(quality: _Quality):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def fill(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         total = np.zeros((2, len(quality.keys), 4))
         share = np.zeros((2, 2))
         for batch in batches:
             p, sides = quality.posterior(batch)
             field = (np.array(batch.column("field").to_pylist(), object) == "symbol_refs").astype(np.int64)
-            np.add.at(share, (field, 0), p)
-            np.add.at(share, (field, 1), 1 - p)
+            n = batch.column("n").to_numpy(zero_copy_only=False)
+            np.add.at(share, (field, 0), n * p)
+            np.add.at(share, (field, 1), n * (1 - p))
             for k, (source, row) in enumerate(sides):
-                np.add.at(total, (field[row], source, k), p[row])
-                np.add.at(total, (field[row], source, 2 + k), 1 - p[row])
-        blob = np.concatenate([total.ravel(), share.ravel()]).astype("<f8").tobytes()
-        yield pa.RecordBatch.from_arrays([pa.array([blob], pa.binary())], names=["sums"])
+                np.add.at(total, (field[row], source, k), (n * p)[row])
+                np.add.at(total, (field[row], source, 2 + k), (n * (1 - p))[row])
+        return np.concatenate([total.ravel(), share.ravel()])
 
-    return run
+    return fill
 
 
 def _judge(quality: _Quality):
@@ -165,25 +177,34 @@ def true_values(chunks: DataFrame, builds: DataFrame, rounds: int = ROUNDS) -> D
 
     Latent truth with two-sided source quality: each build has a sensitivity (it lists a true
     value) and a rate of false claims (it lists a false one), per field; expectation-maximisation
-    alternates the probability of every value and the qualities of the builds. A list may have
-    any number of true values; those of at least one half are kept. Symbols count without blanks
-    and a closing ``()``.
+    alternates the probability of every value and the qualities of the builds until these settle.
+    A list may have any number of true values; those of at least one half are kept. Symbols count
+    without blanks and a closing ``()``.
 
-    Per round one pass over the claims sends one block of sums per task to the driver, whose size
-    is the number of builds. Rows without a build are one source (-1).
+    Claims of the same builds for and against are alike, so rounds go over the distinct patterns
+    and their numbers. What a task holds and sends are the sums of the sources, of which more than
+    MOST_SOURCES raise ValueError. Rows without a build are one source (-1).
 
     Defined results: as in ``survivors``; a group whose rows list no value has no row here.
     """
-    claims = cut(_claims(chunks, builds), "claims")
-    sources = sorted(r[0] for r in claims.select(F.explode(F.array_union("yes", "no"))).distinct().collect())  # builds
-    quality = _Quality(sources)
-    n = len(sources)
+    return _judged(_claims(_keyed(chunks, builds)), rounds)
+
+
+def _judged(claims: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    patterns = cut(claims.groupBy("field", "yes", "no").agg(F.count("*").alias("n")), "patterns")
+    told = patterns.select(F.explode(F.array_union("yes", "no")).alias("source")).distinct().limit(MOST_SOURCES + 1).toArrow()["source"].to_numpy()
+    if len(told) > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources")
+    quality = _Quality(sorted(told.tolist()))
+    n = len(told)
     for _ in range(rounds if n else 0):
-        sums = [np.frombuffer(r[0], "<f8") for r in claims.mapInArrow(_expect(quality), "sums binary").collect()]
-        total = np.sum(sums, axis=0) if sums else np.zeros(8 * n + 4)
+        total = total_array(patterns, _expect(quality), 8 * n + 4)
+        before = np.concatenate([quality.hit.ravel(), quality.false.ravel(), quality.true])
         t, share = total[: 8 * n].reshape(2, n, 4), total[8 * n :].reshape(2, 2)
         quality.hit = (t[:, :, 0] + SENSITIVITY[0]) / (t[:, :, 0] + t[:, :, 1] + sum(SENSITIVITY))
         quality.false = (t[:, :, 2] + FALSE_CLAIMS[0]) / (t[:, :, 2] + t[:, :, 3] + sum(FALSE_CLAIMS))
         quality.true = (share[:, 0] + TRUTH[0]) / (share.sum(axis=1) + sum(TRUTH))
+        if np.abs(np.concatenate([quality.hit.ravel(), quality.false.ravel(), quality.true]) - before).max() < SETTLED:
+            break
     judged = claims.mapInArrow(_judge(quality), "group_id bigint, field string, value string, probability double")
     return judged.withColumn("kept", F.col("probability") >= 0.5)

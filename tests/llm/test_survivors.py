@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 from silexa.llm import survivors
 
@@ -63,3 +64,40 @@ def test_truth_follows_good_sources(spark):
     assert {r["value"] for r in got if r["field"] == "symbol_refs"} == {"s"}
     empty, _ = _frames(spark, [])
     assert survivors.true_values(empty, builds).count() == 0
+
+
+def planted(seed=3, groups=1500, sources=40, each=5):
+    """Rows of sources of known sensitivities and false claims, and the true chips of each text."""
+    rng = random.Random(seed)
+    quality = {s: (rng.uniform(0.55, 0.97), rng.choice([0.0, 0.02, 0.1, 0.35])) for s in range(1, sources + 1)}
+    rows, truth = [], {}
+    for g in range(groups):
+        values = [f"c{k}" for k in range(12)]
+        true = set(rng.sample(values, 3))
+        truth[g * 10] = true
+        for n, s in enumerate(rng.sample(sorted(quality), each)):
+            hit, false = quality[s]
+            said = [v for v in values if rng.random() < (hit if v in true else false)]
+            rows.append((g * 10 + n, f"text {g}", f"p{g}", said, [], 0, s))
+    return rows, truth
+
+
+def test_planted_qualities(spark):
+    rows, truth = planted()
+    chunks, _ = _frames(spark, rows)
+    builds = spark.createDataFrame([(s, 1, None) for s in range(1, 41)], BUILDS)
+    got = survivors.survivors(chunks, builds).select("group_id", "chips_true").collect()
+    kept = {(r["group_id"], v["value"]) for r in got for v in r["chips_true"]}
+    true = {(g, v) for g, values in truth.items() for v in values}
+    said = {(r[0] // 10 * 10, v) for r in rows for v in r[3]}
+    print("false values dropped", len(said - true - kept) / len(said - true), "true values kept", len(true & kept) / len(true & said))
+    assert len(said - true - kept) >= 0.9 * len(said - true) and len(true & kept) >= 0.93 * len(true & said)
+
+
+def test_words_are_parted_by_unicode_white_space_only(spark):
+    from silexa.functions.pywords import blank_count
+
+    assert blank_count("a\x1fb c　d") == 3
+    rows = [(1, "a\x1fb c", "p", [], [], 0, 1), (2, "a\x1fb c", "p", [], [], 0, 1), (3, "a b c", "p", [], [], 0, 1)]
+    chunks, builds = _frames(spark, rows)
+    assert [r["group_id"] for r in survivors.survivors(chunks, builds).collect()] == [1]
