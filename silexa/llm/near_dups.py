@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 
 from silexa.functions.batches import by_items, by_text
 from silexa.functions.pywords import terms
+from silexa.functions.totals import total_array
 from silexa.session import cut
 
 SETS = "raw_id bigint, digest binary, size int, shingles array<int>"
 SIGNED = "band int, part int, class_id bigint, size int, own boolean, scan boolean, bits binary, whole array<int>, less array<int>"
-#: Counters of the popularity sketch, and parts in which they are summed.
-COUNTERS, SLICES = 1 << 20, 64
+#: Counters of the popularity sketch.
+COUNTERS = 1 << 20
 #: Signatures that one task joins.
 JOINED = 3_000_000
 #: Candidate pairs compared at a time.
@@ -90,28 +91,17 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return column.values.to_numpy()[offsets[0] : offsets[-1]], np.diff(offsets)
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(COUNTERS, np.int64)
+def _counted(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+    total = np.zeros(COUNTERS)
     for batch in batches:
         values, _ = _lists(batch.column(0))
         total += np.bincount(values.view(np.uint32) & np.uint32(COUNTERS - 1), minlength=COUNTERS)
-    parts = [x.astype("<i8").tobytes() for x in np.split(total, SLICES)]
-    yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())], names=["slice", "counts"])
-
-
-def _summed(group: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(x, "<i8") for x in group["counts"].to_pylist())
-    return pa.table({"slice": group["slice"][:1], "counts": pa.array([total.tobytes()], pa.binary())})
+    return total
 
 
 def popularity(sets: DataFrame) -> np.ndarray:
     """In how many sets each shingle occurs, by a sketch of fixed size over all sets."""
-    kind = "slice int, counts binary"
-    parts = sets.select("shingles").mapInArrow(_counted, kind).groupBy("slice").applyInArrow(_summed, kind).collect()
-    out = np.zeros(COUNTERS, np.int64)
-    for r in parts:  # SLICES rows of fixed size
-        out[r["slice"] * (COUNTERS // SLICES) :][: COUNTERS // SLICES] = np.frombuffer(r["counts"], "<i8")
-    return np.minimum(out, np.iinfo(np.int32).max).astype(np.int32)
+    return np.minimum(total_array(sets.select("shingles"), _counted, COUNTERS), np.iinfo(np.int32).max).astype(np.int32)
 
 
 def band_edges(largest: int, similarity: float) -> list[int]:
@@ -304,7 +294,9 @@ class NearDuplicates:
 
     def __init__(self, chunks: DataFrame, words: int = 5, similarity: float = 0.8, least: int | None = None) -> None:
         least = max(words, least or 0)
-        sets = chunks.select("raw_id", "text").where(F.length("text") >= 2 * least - 1).mapInArrow(_sets(words, least), SETS).persist()
+        # a term takes a character and a blank, but beyond ASCII a lower-case letter may be several characters
+        long = (F.length("text") >= 2 * least - 1) | (F.octet_length("text") > F.length("text"))
+        sets = chunks.select("raw_id", "text").where(long).mapInArrow(_sets(words, least), SETS).persist()
         classes = sets.groupBy("digest").agg(F.min("raw_id").alias("class_id"))
         self.members = cut(sets.select("raw_id", "digest").join(classes, "digest").select("raw_id", "class_id"), "members")
         heads = self.members.where("raw_id = class_id").select("class_id")

@@ -80,3 +80,10 @@ def test_components(spark):
         parent[max(x, y)] = min(x, y)
     got = {r["node"]: r["root"] for r in near_dups.components(spark.createDataFrame(edges, "id_a bigint, id_b bigint")).collect()}
     assert {n: r for n, r in got.items() if n != r} == {n: root(n) for a, b in edges for n in (a, b) if root(n) != n}
+
+
+def test_short_texts_of_many_terms(spark):
+    """A letter that lower case makes two characters parts words, so 20 characters may be 20 terms."""
+    rows = spark.createDataFrame([(1, "İ" * 20), (2, "İ" * 20), (3, "İ" * 19)], "raw_id bigint, text string")
+    found = near_dups.NearDuplicates(rows, words=3, similarity=0.6, least=20)
+    assert {tuple(r) for r in found.members.collect()} == {(1, 1), (2, 1)}
