@@ -19,8 +19,8 @@ from silexa.session import cut
 PROSE, LINKS, TAGS, MENU = range(4)
 #: Words of a line that are labelled together; longer lines are cut.
 SPAN = 12
-#: Entries of the hashed word table.
-LEXICON = 1 << 17
+#: Words are learned that make up this share of the words they are learned from, so there are at most a million; and at least so many occurrences.
+LEAST_SHARE, LEAST_SEEN = 1e-6, 3
 #: Pages of fewer words are never flagged.
 LEAST_WORDS = 12
 #: Occurrences from which a pair of words counts as repeated on a page.
@@ -49,15 +49,31 @@ SHAPE = (4, 3, 4, 4, 6, 3)
 SEGMENTS = "doc_id bigint, n_words array<int>, features array<int>"
 
 
+class WordOdds:
+    """Log odds of the words that are learned, by key; other words have none."""
+
+    def __init__(self, keys: np.ndarray, spam: np.ndarray, prose: np.ndarray, totals: tuple[int, int]) -> None:
+        order = np.argsort(keys)
+        self.keys = keys[order]
+        spam, prose = spam[order].astype(np.float64), prose[order].astype(np.float64)
+        odds = np.log((spam + 1) / (totals[0] + len(keys))) - np.log((prose + 1) / (totals[1] + len(keys)))
+        self.odds = np.clip(odds, -4, 4).astype(np.float32)
+
+    def of(self, key: int) -> float:
+        at = int(np.searchsorted(self.keys, np.uint64(key)))
+        return float(self.odds[at]) if at < len(self.keys) and self.keys[at] == np.uint64(key) else 0.0
+
+
 class _Words(dict):
     """Numbers of tokens, by which their flags and keys are looked up; emptied beyond a bound.
 
     BREAK stands for the end of a line, BLANK for tokens without a letter or digit.
     """
 
-    def __init__(self) -> None:
+    def __init__(self, odds: WordOdds | None = None) -> None:
         super().__init__()
         self.flags, self.keys = np.zeros(_KNOWN, np.int8), np.zeros(_KNOWN, np.uint64)
+        self.told, self.odds = odds, np.zeros(_KNOWN, np.float32)
         self.forget()
 
     def forget(self) -> None:
@@ -74,8 +90,9 @@ class _Words(dict):
         if made:
             at = len(self) + 1
             if at >= len(self.flags):
-                self.flags, self.keys = np.resize(self.flags, 2 * at), np.resize(self.keys, 2 * at)
+                self.flags, self.keys, self.odds = (np.resize(x, 2 * at) for x in (self.flags, self.keys, self.odds))
             self.flags[at], self.keys[at] = made
+            self.odds[at] = self.told.of(made[1]) if self.told else 0.0
         self[token] = at
         return at
 
@@ -152,7 +169,7 @@ def segments(texts: list[str | None], words: _Words) -> dict[str, np.ndarray]:
         return np.add.reduceat(mask.astype(np.float64), first) / length if len(first) else np.zeros(0)
 
     return {
-        "doc": doc[first], "length": length, "first": first, "key": key, "links": share(flag & IS_LINK > 0), "tags": share(flag & IS_TAG > 0), "code": share(flag & (IS_CODE | IS_NUMBER) > 0),
+        "doc": doc[first], "length": length, "first": first, "key": key, "odds": words.odds[token], "links": share(flag & IS_LINK > 0), "tags": share(flag & IS_TAG > 0), "code": share(flag & (IS_CODE | IS_NUMBER) > 0),
         "ids": share(flag & IS_CODE > 0), "repeated": share(covered), "shop": share(flag & (IS_PRICE | IS_ODD) > 0), "price": share(flag & IS_PRICE > 0),
     }
 
@@ -164,29 +181,31 @@ def _seeds(s: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return spam & ~prose, prose & ~spam
 
 
-def _slot(key: np.ndarray) -> np.ndarray:
-    return (key >> np.uint64(20)).astype(np.int64) & (LEXICON - 1)
-
-
-def _learned(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-    words, total = _Words(), np.zeros((2, LEXICON))
+def _learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often each word is in sure spam and in sure prose."""
+    words = _Words()
     for whole in batches:
         for batch in by_text(whole, 1):
             s = segments(batch.column(1).to_pylist(), words)
-            for row, chosen in zip(total, _seeds(s)):
-                row += np.bincount(_slot(s["key"])[np.repeat(chosen, s["length"])], minlength=LEXICON)
-    return total.ravel()
+            spam, prose = (np.repeat(x, s["length"]) for x in _seeds(s))
+            chosen = spam | prose
+            keys, at = np.unique(s["key"][chosen], return_inverse=True)
+            columns = [pa.array(np.bincount(at, x[chosen], minlength=len(keys)).astype(np.int64)) for x in (spam, prose)]
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), *columns], names=["word", "spam", "prose"])
 
 
-def word_odds(counts: np.ndarray) -> np.ndarray:
-    """Log odds of each word slot, between -4 and 4, from its counts in sure spam and sure prose."""
-    spam, prose = counts.reshape(2, LEXICON)
-    odds = np.log((spam + 1) / (spam.sum() + LEXICON)) - np.log((prose + 1) / (prose.sum() + LEXICON))
-    return np.where(spam + prose >= 3, np.clip(odds, -4, 4), 0.0).astype(np.float32)
+def word_odds(texts: DataFrame) -> WordOdds:
+    """The odds of all words of at least LEAST_SHARE of the words in sure spam and sure prose, counted over all texts (doc_id, text)."""
+    seen = texts.mapInArrow(_learned, "word bigint, spam bigint, prose bigint").groupBy("word").agg(F.sum("spam").alias("spam"), F.sum("prose").alias("prose"))
+    seen = cut(seen, "words")
+    r = seen.agg(F.sum("spam"), F.sum("prose")).first()
+    totals = (r[0] or 0, r[1] or 0)
+    known = seen.where(F.col("spam") + F.col("prose") >= max(LEAST_SEEN, LEAST_SHARE * sum(totals))).toArrow()  # at most 1 / LEAST_SHARE rows
+    return WordOdds(known["word"].to_numpy().view(np.uint64), known["spam"].to_numpy(), known["prose"].to_numpy(), totals)
 
 
-def _coded(s: dict[str, np.ndarray], odds: np.ndarray) -> np.ndarray:
-    mean = np.add.reduceat(odds[_slot(s["key"])].astype(np.float64), s["first"]) / s["length"] if len(s["first"]) else np.zeros(0)
+def _coded(s: dict[str, np.ndarray]) -> np.ndarray:
+    mean = np.add.reduceat(s["odds"].astype(np.float64), s["first"]) / s["length"] if len(s["first"]) else np.zeros(0)
     cut_at = lambda x, *edges: np.searchsorted(np.array(edges), x, side="left")
     values = (
         cut_at(s["links"], 0, 0.15, 0.4), cut_at(s["tags"], 0, 0.2), cut_at(s["code"], 0, 0.1, 0.5),
@@ -197,12 +216,12 @@ def _coded(s: dict[str, np.ndarray], odds: np.ndarray) -> np.ndarray:
 
 def _featured(odds: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, table = _Words(), odds.value
+        words = _Words(odds.value)
         for whole in batches:
             for batch in by_text(whole, 1):
                 s = segments(batch.column(1).to_pylist(), words)
                 ends = pa.array(np.r_[0, np.cumsum(np.bincount(s["doc"], minlength=batch.num_rows))].astype(np.int32))
-                lists = [pa.ListArray.from_arrays(ends, pa.array(x.astype(np.int32))) for x in (s["length"], _coded(s, table))]
+                lists = [pa.ListArray.from_arrays(ends, pa.array(x.astype(np.int32))) for x in (s["length"], _coded(s))]
                 yield pa.RecordBatch.from_arrays([batch.column(0), *lists], names=["doc_id", "n_words", "features"])
 
     return run
@@ -318,7 +337,8 @@ def word_shares(documents: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     features: links, tags, domain matter, pairs of words repeated on the page, words as learned,
     prices and odd spellings. (3) Its probabilities are re-estimated from the most probable
     labels of all documents, ``rounds`` times, and mixed with the first guess so that labels keep
-    their meaning. Word table and probabilities have a fixed size; documents aren't shuffled, and
+    their meaning. Words that are a millionth or more of those counted are told apart, so their
+    table is bounded, and probabilities have a fixed size; documents aren't shuffled, and
     the features are written once, so texts are read twice.
 
     Words are tokens between white space with a letter or digit; tags written together are
@@ -327,7 +347,7 @@ def word_shares(documents: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """
     texts = documents.select("doc_id", "text")
     context = documents.sparkSession.sparkContext
-    odds = context.broadcast(word_odds(total_array(texts, _learned, 2 * LEXICON)))
+    odds = context.broadcast(word_odds(texts))
     pages = cut(texts.mapInArrow(_featured(odds), SEGMENTS), "segments")
     model = LineModel()
     for _ in range(rounds):
