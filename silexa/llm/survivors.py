@@ -13,7 +13,8 @@ from silexa.functions.totals import total_array
 from silexa.session import cut
 
 #: White space of Unicode in Java's notation (a class of its own is read far faster than ``(?U)\\s``).
-BLANKS = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+BLANKS = f"[{WHITE}]+"
 #: Rounds of estimation at most, and the change of every quality below which it ends.
 ROUNDS, SETTLED = 30, 1e-4
 #: Sources that may be told apart: their qualities are held by every task.
@@ -30,15 +31,14 @@ def page_key(path: Column) -> Column:
     return F.when(key != "", key)
 
 
-def word_key(text: Column) -> Column:
-    """The words of a text joined by single blanks; a text without a word gives null."""
-    key = F.trim(F.regexp_replace(text, BLANKS, " "))
-    return F.when(key != "", key)
+def spaced(text: Column) -> Column:
+    """The words of a text joined by single blanks."""
+    return F.trim(F.regexp_replace(text, BLANKS, " "))
 
 
 def listed(values: Column) -> Column:
     """Distinct non-blank entries of a list; null gives none."""
-    kept = F.filter(values, lambda v: v.isNotNull() & (F.length(F.regexp_replace(v, BLANKS, "")) > 0))
+    kept = F.filter(values, lambda v: F.coalesce(v.rlike(f"[^{WHITE}]"), F.lit(False)))
     return F.coalesce(F.array_distinct(kept), F.array().cast("array<string>"))
 
 
@@ -46,10 +46,10 @@ def _keyed(chunks: DataFrame, builds: DataFrame) -> DataFrame:
     """Rows that have a page and a word, with group key, recency and trust; written once, without texts."""
     about = builds.where(F.col("build_id").isNotNull()).groupBy("build_id").agg(F.max("built_at").alias("_built"), F.max("trust").alias("_trust"))
     rows = chunks.select("raw_id", "text", "file_path", "chips", "symbol_refs", "chunk_index", "build_id")
-    rows = rows.withColumn("_page", page_key(F.col("file_path"))).withColumn("_words", word_key(F.col("text")))
-    rows = rows.where(F.col("_page").isNotNull() & F.col("_words").isNotNull())
-    key = F.unhex(F.md5(F.concat_ws("\n", "_page", "_words").cast("binary")))
-    return cut(rows.withColumn("_key", key).drop("text", "_page", "_words").join(about, "build_id", "left"), "keyed")
+    # the filters look for one character; texts are rewritten once, for the key
+    rows = rows.where(F.col("text").rlike(f"[^{WHITE}]") & page_key(F.col("file_path")).isNotNull())
+    key = F.unhex(F.md5(F.concat_ws("\n", page_key(F.col("file_path")), spaced(F.col("text"))).cast("binary")))
+    return cut(rows.withColumn("_key", key).drop("text").join(about, "build_id", "left"), "keyed")
 
 
 def _best(field: str, *order: Column, given: Column | None = None, value: Column | None = None) -> Column:
