@@ -17,6 +17,11 @@ _SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
 def blank_count(text: str | None) -> int:
+    """Number of words as Python's split parts them; null counts 0."""
+    return len(text.split()) if text else 0
+
+
+def white_count(text: str | None) -> int:
     """Number of words parted by Unicode white space; null counts 0."""
     if not text:
         return 0

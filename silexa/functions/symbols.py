@@ -8,14 +8,10 @@ from pyspark.sql import functions as F
 from silexa.functions.arrays import contains_all, listed
 from silexa.functions.text import word_count
 
-# Patterns of identifiers and of the forms in which they are declared.
+# Patterns of identifiers and of the line with which a register begins.
 TOKEN = r"[A-Za-z][A-Za-z0-9_]{2,}"
 REGISTER_HEADER = r"Register ([A-Za-z0-9_]+)\s*(?:\([^)]*\))?\s* at address"
-RANGE = r"^(\S+?)\s*\(([A-Za-z])\s*:\s*(\d+)\s*[-~]\s*(\d+)\)\s*$"
 FIELD = r"^[A-Z][A-Z0-9_]{3,}$"
-INCLUDE = r"""^\s*#\s*include\s+["<]([^">]+)[">]"""
-DEFINE = r"^\s*#\s*define\s+([A-Za-z_]\w*)"
-BANNER = r"^\s*/\*+[-=*\s]*(.*?)[-=*\s]*\*+/\s*$"
 #: Members of a bank of registers that are spelled out at most, and words of a banner at most.
 MOST_MEMBERS, BANNER_WORDS = 64, 12
 
@@ -37,14 +33,18 @@ def register_symbols(name: Column) -> Column:
     without the letter in the name, give the name alone; '' and 'unknown' give none.
     """
     bare = F.trim(name)
-    base, letter = F.regexp_extract(bare, RANGE, 1), F.regexp_extract(bare, RANGE, 2)
-    low, high = (F.regexp_extract(bare, RANGE, k).try_cast("int") for k in (3, 4))
+    base, rest = F.rtrim(F.substring_index(bare, "(", 1)), F.trim(F.substring_index(bare, "(", -1))
+    inner = F.split(F.rtrim(F.rtrim(rest), F.lit(")")), ":")
+    letter, bounds = F.trim(F.get(inner, F.lit(0))), F.split(F.get(inner, F.lit(1)), "[-~]")
+    low, high = (F.trim(F.get(bounds, F.lit(k))).try_cast("int") for k in (0, 1))
+    bank = bare.endswith(")") & (F.size(F.split(bare, r"\(")) == 2) & (F.size(inner) == 2) & (F.size(bounds) == 2)
+    bank = bank & letter.rlike("^[A-Za-z]$") & low.isNotNull() & high.isNotNull() & base.rlike(r"^\S+$")
     at = F.position(letter, base)
     spelled = F.transform(F.sequence(low, high), lambda i: F.concat(F.substr(base, F.lit(1), at - 1), i.cast("string"), F.substr(base, at + 1)))
-    fits = (high >= low) & (high - low < MOST_MEMBERS) & (at > 0)
-    many = F.array_distinct(F.concat(F.array(base), F.when(fits, spelled).otherwise(F.array().cast("array<string>"))))
     none = F.array().cast("array<string>")
-    return F.when(name.isNull() | (bare == "") | (name == "unknown"), none).when(bare.rlike(RANGE), many).otherwise(F.array(bare))
+    fits = (high >= low) & (high - low < MOST_MEMBERS) & (at > 0)
+    many = F.array_distinct(F.concat(F.array(base), F.when(fits, spelled).otherwise(none)))
+    return F.when(name.isNull() | (bare == "") | (name == "unknown"), none).when(F.coalesce(bank, F.lit(False)), many).otherwise(F.array(bare))
 
 
 def field_symbols(names: Column) -> Column:
@@ -59,20 +59,31 @@ def bit_range(width: Column, position: Column) -> Column:
     return F.coalesce(F.when(w.isNotNull() & p.isNotNull(), text.otherwise(F.concat(F.lit("["), F.trim(position), F.lit("]")))), F.lit(""))
 
 
+def _directive(line: Column, name: str) -> Column:
+    """What follows a directive of the preprocessor; null if the line is none of that name."""
+    after = F.ltrim(F.substr(F.ltrim(line), F.lit(2)))
+    return F.when(F.ltrim(line).startswith("#") & after.rlike(rf"^{name}\b"), F.trim(F.substr(after, F.lit(len(name) + 1))))
+
+
 def include_of(line: Column) -> Column:
     """The file that a line includes, or ''."""
-    return F.regexp_extract(line, INCLUDE, 1)
+    told = _directive(line, "include")
+    inner = F.substr(told, F.lit(2))
+    found = F.when(told.startswith("<"), F.substring_index(inner, ">", 1)).when(told.startswith('"'), F.substring_index(inner, '"', 1))
+    return F.coalesce(found, F.lit(""))
 
 
 def defined_by(line: Column) -> Column:
     """The macro that a line defines, or ''."""
-    return F.regexp_extract(line, DEFINE, 1)
+    return F.coalesce(F.regexp_extract(_directive(line, "define"), "^[A-Za-z_][A-Za-z0-9_]*", 0), F.lit(""))
 
 
 def banner_title(line: Column) -> Column:
     """Heading of a line that holds nothing but a short comment, else null."""
-    title = F.regexp_replace(F.trim(F.regexp_extract(line, BANNER, 1)), r"^[-=* \t]+|[-=* \t]+$", "")
-    return F.when(line.rlike(BANNER) & title.rlike(r"(?U)\p{L}") & (word_count(title) <= BANNER_WORDS), title)
+    bare = F.trim(line)
+    alone = bare.startswith("/*") & bare.endswith("*/") & (F.instr(bare, "*/") == F.length(bare) - 1)
+    title = F.btrim(F.btrim(bare, F.lit("/")), F.lit("-=* \t"))
+    return F.when(alone & title.rlike(r"(?U)\p{L}") & (word_count(title) <= BANNER_WORDS), title)
 
 
 def bare_symbol(symbol: Column) -> Column:
@@ -107,6 +118,7 @@ def revision_scope(doc_type: Column, revisions: Column, published: Column) -> Co
     ``published`` are the revisions of the chunk's chip. No revision of its own means an unknown
     coverage for manuals, and no revision axis for other collections.
     """
+    # The wording of the labels
     own = F.array_join(F.array_sort(listed(revisions)), ", ")
     everything = (F.size(listed(published)) > 0) & contains_all(revisions, published)
     label = F.when(everything, F.concat(F.lit("all published revisions ("), own, F.lit(")"))).otherwise(F.concat(F.lit("ONLY revision "), own, F.lit(" -- does not apply to other silicon revisions")))

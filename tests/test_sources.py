@@ -194,3 +194,49 @@ def test_provenance(spark, tmp_path):
     assert provenance.first_existing(None, tmp_path / "none", tmp_path) == tmp_path
     with pytest.raises(FileNotFoundError):
         provenance.first_existing(tmp_path / "none")
+
+
+def test_listings_are_read_as_they_are():
+    source = r"""\begin{document}Use \verb|50%| of it. % gone \begin{verbatim}
+\begin{lstlisting}[language=C]
+printf("%d items", n); next(); \fi \tagged{X}{y} \reg
+\end{lstlisting}
+\iffalse \verb|\fi| no \fi See \href{http://u}{the page} and \url{u.v}.\end{document}"""
+    rows = latex.parse_document("M/01-x.tex", {"M/01-x.tex": source}, frozenset(), {"reg": "REG"})
+    text = "\n".join(r["text"] for r in rows)
+    assert "Use 50% of it." in text and r'printf("%d items", n); next(); \fi \tagged{X}{y} \reg' in text
+    assert "gone" not in text and " no" not in text and "See the page and u.v." in text and "http" not in text
+
+
+def test_longtable_feet_and_cycles():
+    table = r"""\begin{longtable}{ll}A & B \\ \endfirsthead A & B (continued) \\ \endhead \multicolumn{2}{r}{more} \\ \endfoot end \\ \endlastfoot 1 & 2 \\ 3 & 4 \\ \end{longtable}"""
+    known = {"M/01-x.tex": table + r"\input{b}", "M/b.tex": r"\input{01-x} tail \tagged{a}{A \untagged{b}{B \iftagged{c}{C}{D}}}"}
+    text = latex.parse_document("M/01-x.tex", known, frozenset(["a", "c"]))[0]["text"]
+    assert "A | B\n1 | 2\n3 | 4" in text and "continued" not in text and "more" not in text and "end" not in text and "A B C" in text
+    got = latex.resolve("M/01-x.tex", known)
+    assert got.cycles == ["M/01-x.tex"] and got.missing == []
+
+
+def test_header_forms():
+    source = """#define MULTI(x) \\
+    do_it(x)
+typedef enum { ONE = (1 << 2), /* TWO, */ TWO,
+  THREE } kind_t;
+typedef struct __attribute__((packed)) tag { int inner; union { int a; } both; } tag_t;
+static inline int twice(int x) { return x + helper(x); }
+extern const char *const names[4];
+typedef void (*callback)(int);
+int *make(struct other *o, int n) __attribute__((weak));
+const char *text = "int fake(void);";
+#if defined(X)
+enum kind2 { A_KIND };
+#endif
+/* --- Part two --- */
+extern "C" {
+void linked(void);
+}
+"""
+    told = headers.scan(source)
+    assert set().union(*told.names.values()) == {"MULTI", "ONE", "TWO", "THREE", "kind_t", "tag", "both", "tag_t", "names", "make", "kind2", "A_KIND", "linked"}
+    assert list(told.banners.values()) == ["Part two"] and told.names[3] == {"THREE", "kind_t"}
+    assert headers.parse_header("include/soc/e.h", b"") == [] and headers.banner("/* x */ int a;") is None
