@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from silexa.functions.pywords import blank_count
+from silexa.functions.pywords import white_count
 from silexa.llm.splitting import one_limit
 from silexa.session import cut
 
@@ -72,7 +72,7 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for raw_id, kind, text, capacity in zip(*(c.to_pylist() for c in batch.columns)):
-            n = blank_count(text)
+            n = white_count(text)
             if not capacity or n <= capacity:
                 rows.append((raw_id, kind, capacity, 0, 0, n))
             else:

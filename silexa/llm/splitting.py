@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from silexa.functions.pywords import BLANKED, blank_count
+from silexa.functions.pywords import BLANKED, white_count
 
 SECTION, PARAGRAPH, LINE, SENTENCE, WORD, CHARACTER = range(6)
 _BREAK = re.compile("\r\n|[\n\r\x0b\x0c\x85\N{LINE SEPARATOR}\N{PARAGRAPH SEPARATOR}]")
@@ -90,7 +90,7 @@ def _split(max_chars: int | None):
         for batch in batches:
             rows = []
             for raw_id, text, path, file_path, index, kind, limit, overlap in zip(*(c.to_pylist() for c in batch.columns)):
-                if blank_count(text) - blank_count(path) <= limit:
+                if white_count(text) - white_count(path) <= limit:
                     continue
                 body = text[body_start(text, path) :]
                 spans = units(body, max_chars)

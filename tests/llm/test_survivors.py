@@ -95,9 +95,9 @@ def test_planted_qualities(spark):
 
 
 def test_words_are_parted_by_unicode_white_space_only(spark):
-    from silexa.functions.pywords import blank_count
+    from silexa.functions.pywords import white_count
 
-    assert blank_count("a\x1fb c　d") == 3
+    assert white_count("a\x1fb c　d") == 3
     rows = [(1, "a\x1fb c", "p", [], [], 0, 1), (2, "a\x1fb c", "p", [], [], 0, 1), (3, "a b c", "p", [], [], 0, 1)]
     chunks, builds = _frames(spark, rows)
     assert [r["group_id"] for r in survivors.survivors(chunks, builds).collect()] == [1]
