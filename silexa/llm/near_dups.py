@@ -17,7 +17,7 @@ from silexa.functions.pywords import terms
 from silexa.functions.totals import total_array
 from silexa.session import cut
 
-SETS = "raw_id bigint, digest binary, size int, shingles array<int>"
+DIGESTS, SETS = "raw_id bigint, digest binary", "raw_id bigint, size int, shingles array<int>"
 SIGNED = "band int, part int, class_id bigint, size int, own boolean, scan boolean, bits binary, whole array<int>, less array<int>"
 #: Counters of the popularity sketch.
 COUNTERS = 1 << 20
@@ -70,17 +70,22 @@ def shingle_sets(texts: list[str | None], words: int, least: int, codes: dict[st
     return (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32), sizes
 
 
-def _sets(words: int, least: int):
+def _sets(words: int, least: int, whole: bool):
+    """The shingles of each text, or without ``whole`` a digest of them only."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = WordCodes()
-        for batch in (part for whole in batches for part in by_text(whole, 1)):
-            ids = batch.column(0)
+        for batch in (part for every in batches for part in by_text(every, 1)):
             hashes, sizes = shingle_sets(batch.column(1).to_pylist(), words, least, codes)
             kept = np.flatnonzero(sizes > 0)
-            ends = np.cumsum(np.maximum(sizes, 0))
-            digests = [xxhash.xxh3_128_digest(hashes[e - n : e].tobytes()) for n, e in zip(sizes[kept].tolist(), ends[kept].tolist())]
-            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, ends[kept]].astype(np.int32)), pa.array(hashes.view(np.int32)))
-            yield pa.RecordBatch.from_arrays([ids.take(pa.array(kept)), pa.array(digests, pa.binary()), pa.array(sizes[kept].astype(np.int32)), lists], names=[x.split()[0] for x in SETS.split(", ")])
+            ids, ends = batch.column(0).take(pa.array(kept)), np.cumsum(np.maximum(sizes, 0))
+            if whole:
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, ends[kept]].astype(np.int32)), pa.array(hashes.view(np.int32)))
+                columns, names = [ids, pa.array(sizes[kept].astype(np.int32)), lists], SETS
+            else:
+                digests = [xxhash.xxh3_128_digest(hashes[e - n : e].tobytes()) for n, e in zip(sizes[kept].tolist(), ends[kept].tolist())]
+                columns, names = [ids, pa.array(digests, pa.binary())], DIGESTS
+            yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in names.split(", ")])
 
     return run
 
@@ -296,14 +301,15 @@ class NearDuplicates:
         least = max(words, least or 0)
         # a term takes a character and a blank, but beyond ASCII a lower-case letter may be several characters
         long = (F.length("text") >= 2 * least - 1) | (F.octet_length("text") > F.length("text"))
-        sets = chunks.select("raw_id", "text").where(long).mapInArrow(_sets(words, least), SETS).persist()
-        classes = sets.groupBy("digest").agg(F.min("raw_id").alias("class_id"))
-        self.members = cut(sets.select("raw_id", "digest").join(classes, "digest").select("raw_id", "class_id"), "members")
-        heads = self.members.where("raw_id = class_id").select("class_id")
-        one = sets.join(heads, F.col("raw_id") == F.col("class_id")).select("class_id", "size", "shingles").persist()
+        texts = chunks.select("raw_id", "text").where(long)
+        digests = cut(texts.mapInArrow(_sets(words, least, False), DIGESTS), "digests")
+        classes = digests.groupBy("digest").agg(F.min("raw_id").alias("class_id"))
+        self.members = cut(digests.join(classes, "digest").select("raw_id", "class_id"), "members")
+        heads = self.members.where("raw_id = class_id").select("class_id").distinct()
+        # sets are made again for the heads of classes: the digests are a fraction of what writing all sets would take
+        sets = texts.mapInArrow(_sets(words, least, True), SETS)
+        one = cut(sets.join(heads, F.col("raw_id") == F.col("class_id")).select("class_id", "size", "shingles"), "sets")
         self.pairs = cut(self._join(one, similarity), "pairs")
-        one.unpersist()
-        sets.unpersist()
 
     @staticmethod
     def _join(one: DataFrame, similarity: float) -> DataFrame:
@@ -317,7 +323,8 @@ class NearDuplicates:
         popular = one.sparkSession.sparkContext.broadcast(popularity(one))
         signed = one.select("class_id", "shingles").mapInArrow(_signed(edges, parts, similarity, popular), SIGNED)
         met = signed.groupBy("band", "part").applyInArrow(_candidates(similarity), "id_s bigint, id_t bigint").distinct()
-        return verified(met, one, similarity)
+        # a head that is there twice is met by itself and verified twice
+        return verified(met.where("id_s <> id_t"), one, similarity).distinct()
 
 
 def verified(met: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:

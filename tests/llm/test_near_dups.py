@@ -87,3 +87,10 @@ def test_short_texts_of_many_terms(spark):
     rows = spark.createDataFrame([(1, "İ" * 20), (2, "İ" * 20), (3, "İ" * 19)], "raw_id bigint, text string")
     found = near_dups.NearDuplicates(rows, words=3, similarity=0.6, least=20)
     assert {tuple(r) for r in found.members.collect()} == {(1, 1), (2, 1)}
+
+
+def test_repeated_heads(spark):
+    near = " ".join(f"y{i}" for i in range(25))
+    rows = spark.createDataFrame([(1, near), (1, near), (2, near + " z"), (2, near + " z"), (3, near)], "raw_id bigint, text string")
+    found = near_dups.NearDuplicates(rows, 3, 0.6, 20)
+    assert [tuple(r)[:2] for r in found.pairs.collect()] == [(1, 2)]
