@@ -21,6 +21,8 @@ DIGESTS, SETS = "raw_id bigint, digest binary", "raw_id bigint, size int, shingl
 SIGNED = "band int, part int, class_id bigint, size int, own boolean, scan boolean, bits binary, whole array<int>, less array<int>"
 #: Counters of the popularity sketch.
 COUNTERS = 1 << 20
+#: Heads of classes (8 bytes each) that are sent to all tasks; more of them are joined by a shuffle.
+SENT_HEADS = 1_000_000
 #: Signatures that one task joins.
 JOINED = 3_000_000
 #: Candidate pairs compared at a time.
@@ -307,8 +309,14 @@ class NearDuplicates:
         self.members = cut(digests.join(classes, "digest").select("raw_id", "class_id"), "members")
         heads = self.members.where("raw_id = class_id").select("class_id").distinct()
         # sets are made again for the heads of classes: the digests are a fraction of what writing all sets would take
-        sets = texts.mapInArrow(_sets(words, least, True), SETS)
-        one = cut(sets.join(heads, F.col("raw_id") == F.col("class_id")).select("class_id", "size", "shingles"), "sets")
+        head = lambda rows: rows.join(picked, F.col("raw_id") == F.col("class_id")).drop("class_id")
+        if heads.count() <= SENT_HEADS:
+            picked = F.broadcast(heads)
+            sets = head(texts).mapInArrow(_sets(words, least, True), SETS)
+        else:  # sets are smaller than texts to shuffle
+            picked = heads
+            sets = head(texts.mapInArrow(_sets(words, least, True), SETS))
+        one = cut(sets.select(F.col("raw_id").alias("class_id"), "size", "shingles"), "sets")
         self.pairs = cut(self._join(one, similarity), "pairs")
 
     @staticmethod

@@ -44,6 +44,7 @@ def test_pairs_are_those_of_brute_force(spark, words, similarity, least):
 
 def test_parts_do_not_change_the_result(spark, monkeypatch):
     rows = _corpus(9)
+    monkeypatch.setattr(near_dups, "SENT_HEADS", 5)
     monkeypatch.setattr(near_dups, "JOINED", 4000)
     monkeypatch.setattr(near_dups, "BLOCK", 2000)
     found = near_dups.NearDuplicates(spark.createDataFrame([(i, t, "p") for i, t in rows], KIND), 3, 0.6, 20)
